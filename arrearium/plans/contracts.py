@@ -23,7 +23,7 @@ COLUMNS = (
     "consecutive_locked_days", "computed_at",
 )
 
-MONEY = "decimal(38,2)"
+MONEY = "decimal(18,2)"
 
 
 def latest_deployment(a_assets: DataFrame, deployed_only: bool = True) -> DataFrame:

@@ -11,7 +11,7 @@ from arrearium.functions.amounts import ZERO, ratio
 from arrearium.functions.dates import as_date
 from arrearium.rules import PortfolioRules
 
-EXACT = "decimal(38,10)"
+EXACT = "decimal(28,10)"
 
 COLUMNS = (
     "contract_number", "customer_name", "categorie", "registration_date", "deposit_free_days",
@@ -48,7 +48,7 @@ def with_repayment(contracts: DataFrame, as_of: date | datetime | str, rules: Po
         {
             "is_rated": F.coalesce(rated, F.lit(False)),
             "deposit_free_days": F.lit(rules.free_days),
-            "daily_rate": (F.col("monthly_payment") / F.lit(30)).cast(EXACT),
+            "daily_rate": (F.col("monthly_payment").cast(EXACT) / F.lit(30)).cast(EXACT),
             "total_without_deposit": F.col("total_contract_value") - F.col("upfront_payment"),
             "days_to_cutoff": cutoff,
             "days_on_books": F.greatest(F.datediff(today, registered) - rules.free_days, F.lit(0)),

@@ -107,11 +107,16 @@ def start_append(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     )
 
 
-def daily_totals(stream: DataFrame, on: str, amount: str, by: Sequence[str], lateness: str = "1 day") -> DataFrame:
-    """Running count and sum per day and ``by`` columns."""
+def daily_totals(
+    stream: DataFrame, on: str, amount: str, by: Sequence[str], lateness: str | None = "1 day"
+) -> DataFrame:
+    """Running count and sum per day and ``by`` columns.
+
+    Pass ``lateness=None`` when the stream already has a watermark (after ``deduplicated``).
+    """
+    marked = stream.withWatermark(on, lateness) if lateness else stream
     return (
-        stream.withWatermark(on, lateness)
-        .groupBy(F.window(on, "1 day").alias("w"), *by)
+        marked.groupBy(F.window(on, "1 day").alias("w"), *by)
         .agg(F.count(F.lit(1)).alias("n"), F.sum(amount).alias("total"))
         .select(F.col("w.start").cast("date").alias("day"), *by, "n", "total")
     )
