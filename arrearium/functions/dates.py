@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +45,17 @@ def months_between(first: Column, last: Column) -> Column:
     )
 
 
+def month_end_list(first: date | str, last: date | str) -> list[date]:
+    """The month ends from the month of ``first`` to the month of ``last``."""
+    lo, hi = (date.fromisoformat(str(d)[:10]) for d in (first, last))
+    out = []
+    year, month = lo.year, lo.month
+    while (year, month) <= (hi.year, hi.month):
+        year, month = (year, month + 1) if month < 12 else (year + 1, 1)
+        out.append(date(year, month, 1) - timedelta(days=1))
+    return out
+
+
 def calendar(spark: SparkSession, first: date | str, last: date | str) -> DataFrame:
     """One row per month: month_start, month_end.  Its size is set by the two dates."""
     months = months_between(as_date(first), as_date(last))

@@ -19,11 +19,12 @@ def json_text(raw: Column, path: str) -> Column:
 
 def first_path(raw: Column, *paths: str) -> Column:
     """First path whose value is neither missing, nor "", nor an empty list."""
-    picks = []
-    for p in paths:
-        v = json_text(raw, p)
-        picks.append(F.when(~v.isin("", "[]"), v))
-    return F.coalesce(*picks)
+    return first_value(*[json_text(raw, p) for p in paths])
+
+
+def first_value(*cols: Column) -> Column:
+    """First text that is neither null, nor "", nor an empty list; else null."""
+    return F.coalesce(*[F.when(~c.isin("", "[]"), c) for c in cols])
 
 
 def first_filled(*cols: Column) -> Column:
@@ -34,12 +35,13 @@ def first_filled(*cols: Column) -> Column:
     return out
 
 
-def object_or_text(raw: Column, id_paths: Sequence[str], *fields: str) -> Column:
+def object_or_text(id_paths: Sequence[str], *fields: Column) -> Column:
     """An id from a field that is either an object or plain text.
 
-    The first filled field counts; an object yields its first filled ``id_paths``.
+    The first filled field counts (an empty object does not); an object yields its
+    first filled ``id_paths``.
     """
-    value = first_path(raw, *fields)
+    value = F.coalesce(*[F.when(~c.isin("", "[]", "{}"), c) for c in fields])
     is_object = value.startswith("{")
     return F.when(is_object, first_path(value, *id_paths)).otherwise(value)
 

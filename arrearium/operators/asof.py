@@ -44,9 +44,10 @@ def asof_month_ends(
     payload = [c for c in df.columns if c != key]
     day = F.col(on).cast("date")
 
-    usable = day.isNotNull() & (F.date_sub(day, grace_days) <= F.last_day(last))
+    # Plain comparisons with constants, so they reach the scan and prune date folders.
+    usable = F.col(on) < F.date_add(F.last_day(last), grace_days + 1)
     if lookback_days is not None:
-        usable = usable & (F.date_add(day, lookback_days) >= first)
+        usable = usable & (F.col(on) >= F.date_sub(first, lookback_days))
 
     newest = (
         df.filter(usable)

@@ -35,7 +35,11 @@ def refresh_silver(
         rows = spec.rows(items)
         table = spec.current(rows)
     else:
-        rows = spec.batch_rows(spec.rows(bronze.on_date(items, ingest_date)))
+        # Stored once: the batch is read twice below, and its file size tells the
+        # planner whether its keys can be broadcast.
+        staged = f"{out_path}-batch"
+        spec.batch_rows(spec.rows(bronze.on_date(items, ingest_date))).write.parquet(staged)
+        rows = spark.read.parquet(staged)
         order = [c for c in bronze.ITEM_ORDER if c in rows.columns]
         table = upsert_touched(
             spark.read.parquet(previous_path), rows, spec.keys, spec.changing(rows), order

@@ -151,13 +151,24 @@ def in_billions(amount: Column) -> Column:
 def snapshot_listing(snapshots: DataFrame, audit: DataFrame, newest: int = 10) -> DataFrame:
     """The newest snapshots with their size, paid total and build time.
 
-    Snapshots collapse to one row per day before they meet the audit rows.
+    The newest dates are found from the date column alone (the partition column of a
+    stored table); only those slices are then summed, to one row per day.
     """
-    days = snapshots.groupBy("snapshot_date").agg(
-        F.count(F.lit(1)).alias("contrats"), F.sum("total_paid").alias("_paid")
+    runs = audit.select("snapshot_date", "run_at")
+    days = (
+        snapshots.select("snapshot_date")
+        .distinct()
+        .join(runs.select("snapshot_date"), "snapshot_date", "left_semi")
+        .orderBy(F.col("snapshot_date").desc())
+        .limit(newest)
+    )
+    sums = (
+        snapshots.join(days, "snapshot_date", "left_semi")
+        .groupBy("snapshot_date")
+        .agg(F.count(F.lit(1)).alias("contrats"), F.sum("total_paid").alias("_paid"))
     )
     return (
-        days.join(audit.select("snapshot_date", "run_at"), "snapshot_date", "inner")
+        sums.join(runs, "snapshot_date", "inner")
         .groupBy("snapshot_date", "run_at")
         .agg(F.sum("contrats").alias("contrats"), in_billions(F.sum("_paid")).alias("paid_mrd"))
         .orderBy(F.col("snapshot_date").desc(), F.col("run_at").desc())

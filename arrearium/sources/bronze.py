@@ -19,22 +19,13 @@ def entity_path(root: str, source: str, entity: str) -> str:
 # ---- landing -------------------------------------------------------------------
 
 
-def land_pages(df: DataFrame, path: str, page_size: int = 500) -> None:
-    """Write rows as JSON pages (arrays of at most ``page_size`` objects, one per line).
+def land_items(df: DataFrame, path: str) -> None:
+    """Write rows as JSON, one object per line, under their ``ingest_date`` folders.
 
-    Pages are cut inside each input partition, so no page depends on a key and none
-    grows past ``page_size``.  A line per page keeps the files splittable.  ``df`` has
-    an ``ingest_date`` column, which becomes the folder.
+    A narrow write: nothing is shuffled and the files stay splittable.  Rows of many
+    dates should be rebalanced by date first, so that every task writes few folders.
     """
-    at = F.monotonically_increasing_id()
-    row = F.struct(*[c for c in df.columns if c != "ingest_date"])
-    pages = (
-        df.select("ingest_date", row.alias("_item"), at.alias("_at"))
-        .groupBy("ingest_date", F.floor(F.col("_at") / page_size).alias("_page"))
-        .agg(F.sort_array(F.collect_list(F.struct("_at", "_item"))).alias("_items"))
-        .select("ingest_date", F.to_json(F.col("_items._item")).alias("value"))
-    )
-    pages.write.mode("append").partitionBy("ingest_date").text(path)
+    df.write.mode("append").partitionBy("ingest_date").json(path)
 
 
 def land_csv(df: DataFrame, path: str) -> None:
@@ -97,19 +88,21 @@ def _place() -> list[Column]:
 
 
 def read_items(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
-    """Raw items: one row per array element, as JSON text in ``raw``.
+    """Raw items as JSON text in ``raw``, one row per item.
 
-    Accepts pages written one per line (default) or one array per file
-    (``whole_files=True``; such files hold at most one page).  Adds the columns of
-    ``ITEM_ORDER``: a total order in which later items override earlier ones.
+    A line is one object or one page (an array of objects).  ``whole_files=True`` reads
+    files that hold one pretty-printed page each.  Adds the columns of ``ITEM_ORDER``:
+    a total order in which later items override earlier ones.
     """
-    lines = spark.read.option("wholetext", whole_files).text(path)
+    lines = spark.read.text(path, wholetext=whole_files)
     dated = F.col("ingest_date") if "ingest_date" in lines.columns else F.lit(None).cast("date")
+    is_page = F.ltrim("value").startswith("[")
+    items = F.when(is_page, F.from_json("value", "array<string>")).otherwise(F.array("value"))
     return (
-        lines.select(dated.cast("date").alias("ingest_date"), "value", *_place())
+        lines.select(dated.cast("date").alias("ingest_date"), items.alias("_items"), *_place())
         .select(
             "ingest_date", "page", "file_path", "block_start", "line",
-            F.posexplode(F.from_json("value", "array<string>")).alias("_pos", "raw"),
+            F.posexplode("_items").alias("_pos", "raw"),
         )
         .withColumn("position", F.struct("line", "_pos"))
         .select(*ITEM_ORDER, "raw")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from arrearium import values
 from arrearium.functions import cleaning as cl
-from arrearium.functions.jsonpath import first_filled, first_path, json_text, object_or_text, surrogate_key
+from arrearium.functions.jsonpath import first_filled, first_path, first_value, object_or_text, surrogate_key
 from arrearium.operators.fold import fold_versions, keep_first, keep_last
 from arrearium.sources.bronze import ITEM_ORDER
 
@@ -26,7 +26,8 @@ class EntitySpec:
     keys: tuple[str, ...]
     mutable: tuple[str, ...] | None  # None: the upsert replaces every column
     columns: Callable[[], dict[str, Column]]
-    raw_schema: str | None = None  # system A: fields to read from the item
+    raw_schema: str | None = None  # system A: fields to read from the item, as ``j``
+    alt_schema: str | None = None  # more fields, as ``k``: names that differ only in case
     renames: dict[str, str] = field(default_factory=dict)  # system B: header -> column
     keep: Callable[[], Column] | None = None  # business filter after typing
     keep_raw: Callable[[], Column] | None = None  # filter on the raw item
@@ -37,6 +38,8 @@ class EntitySpec:
         order = [c for c in ITEM_ORDER if c in bronze.columns]
         if self.raw_schema is not None:
             src = bronze.withColumn("j", F.from_json("raw", self.raw_schema))
+            if self.alt_schema is not None:
+                src = src.withColumn("k", F.from_json("raw", self.alt_schema))
         else:
             src = bronze
             cells = [
@@ -97,9 +100,9 @@ def _py_time(c: Column) -> Column:
 
 def _a_contract_columns() -> dict[str, Column]:
     paid_off_status = F.coalesce(
-        first_path(F.col("raw"), "paidOff.status", "paidoffStatus", "paidOffStatus"), F.lit("")
+        first_value(_j("paidOff.status"), F.col("k.paidoffStatus"), _j("paidOffStatus")), F.lit("")
     )
-    paid_off_date = first_path(F.col("raw"), "paidOffDate", "paidoffDate")
+    paid_off_date = first_value(_j("paidOffDate"), F.col("k.paidoffDate"))
     first, last = _j("client.profile.firstName"), _j("client.profile.lastName")
     return {
         "contract_number": _j("contractNumber"),
@@ -146,12 +149,14 @@ A_CONTRACTS = EntitySpec(
         contractNumber string, status string, onboardingStatus string, flag string, type string,
         signingDate string, lastStatusUpdate string, nextStatusUpdate string, repossessionDate string,
         totalCost string, totalPaid string, remainingDebt string, dealName string, paygNumber string,
+        paidOff struct<status: string>, paidOffStatus string, paidOffDate string,
         pricingSchedule struct<upfrontPayment: string, recurrentPayment: string>,
         product struct<name: string>, asset struct<paygNumber: string>, entity struct<name: string>,
         client struct<clientNumber: string, profile: struct<firstName: string, lastName: string,
             region: string, commune: string, district: string, village: string>>,
         agent struct<agentNumber: string, profile: struct<firstName: string, lastName: string>>
     """,
+    alt_schema="paidoffStatus string, paidoffDate string",
     columns=_a_contract_columns,
     keep_raw=lambda: ~cl.is_test_name(_j("client.profile.firstName"), _j("client.profile.lastName")),
 )
@@ -287,41 +292,47 @@ A_TASKS = EntitySpec(
 
 
 def _form_columns() -> dict[str, Column]:
-    raw = F.col("raw")
-
     def when(*paths: str) -> Column:
-        return cl.parse_timestamp(first_path(raw, *paths), values.FORM_FORMATS)
+        return cl.parse_timestamp(first_value(*[_j(p) for p in paths]), values.FORM_FORMATS)
 
     submitted, updated = when("submittedOn", "submittedAt"), when("updatedAt", "lastUpdated")
-    client, contract, name = (json_text(raw, p) for p in ("clientNumber", "contractNumber", "name"))
+    client, contract, name = _j("clientNumber"), _j("contractNumber"), _j("name")
     fallback = surrogate_key(client, contract, name, _py_time(submitted), _py_time(updated))
     return {
-        "form_id": F.coalesce(first_path(raw, "formId", "_id"), fallback),
-        "form_number": first_path(raw, "formNumber", "number"),
+        "form_id": F.coalesce(first_value(_j("formId"), _j("_id")), fallback),
+        "form_number": first_value(_j("formNumber"), _j("number")),
         "name": name,
-        "status": json_text(raw, "status"),
-        "score": json_text(raw, "score").try_cast("decimal(38,10)"),
+        "status": _j("status"),
+        "score": _j("score").try_cast("decimal(38,10)"),
         "client_number": client,
         "contract_number": contract,
-        "agent_number": object_or_text(raw, ("agentNumber", "number", "id"), "agent", "assignedTo"),
-        "origin": json_text(raw, "origin"),
+        "agent_number": object_or_text(("agentNumber", "number", "id"), _j("agent"), _j("assignedTo")),
+        "origin": _j("origin"),
         "created_at_src": when("createdAt", "creationDate"),
         "submitted_on": submitted,
         "updated_at_src": updated,
-        "raw_data": raw,
+        "raw_data": F.col("raw"),
     }
 
 
 A_FORMS = EntitySpec(
-    name="a_forms", keys=("form_id",), mutable=None, raw_schema="formId string", columns=_form_columns
+    name="a_forms",
+    keys=("form_id",),
+    mutable=None,
+    # Declared as text, agent and assignedTo keep an object's JSON.
+    raw_schema="""
+        formId string, _id string, formNumber string, number string, name string, status string,
+        score string, clientNumber string, contractNumber string, agent string, assignedTo string,
+        origin string, createdAt string, creationDate string, submittedOn string,
+        submittedAt string, updatedAt string, lastUpdated string
+    """,
+    columns=_form_columns,
 )
 
 
 def _event_columns() -> dict[str, Column]:
-    raw = F.col("raw")
-
     def pick(*paths: str) -> Column:
-        return first_path(raw, *paths)
+        return first_value(*[_j(p) for p in paths])
 
     def when(*paths: str) -> Column:
         return cl.parse_timestamp(pick(*paths), values.EVENT_FORMATS)
@@ -358,10 +369,12 @@ def _event_columns() -> dict[str, Column]:
         "location": pick("location"),
         "coordinates": pick("coordinates", "gps"),
         "source": pick("source"),
-        "raw_data": raw,
+        "raw_data": F.col("raw"),
     }
 
 
+_HOLDER = "struct<agentNumber: string, profile: struct<firstName: string, lastName: string>>"
+
 A_ASSET_EVENTS = EntitySpec(
     name="a_asset_events",
     keys=("event_id",),
@@ -369,7 +382,18 @@ A_ASSET_EVENTS = EntitySpec(
         "event_type", "event_status", "event_date", "event_note", "updated_at_src",
         "asset_last_update", "location", "raw_data",
     ),
-    raw_schema="_id string",
+    raw_schema=f"""
+        _id string, id string, assetId string, paygNumber string, type string, eventType string,
+        status string, eventStatus string, date string, eventDate string, note string,
+        description string, createdAt string, updatedAt string, assetNumber string,
+        serialNumber string, batchNumber string, location string, coordinates string, gps string,
+        source string, actor struct<agentNumber: string, name: string>,
+        agent struct<agentNumber: string>, newHolder {_HOLDER}, oldHolder {_HOLDER},
+        product struct<productReference: string, name: string, category: string, manufacturer: string>,
+        asset struct<_id: string, paygNumber: string, assetNumber: string, serialNumber: string,
+            batchNumber: string, productReference: string, dateAdded: string, lastUpdate: string,
+            productDetails: struct<name: string, category: string, manufacturer: string>>
+    """,
     columns=_event_columns,
     in_batch="first",
 )

@@ -141,7 +141,9 @@ def json_first_path(t: Tables):
     raw = F.col("raw")
     return t.raw_items.select(
         "o_orderkey",
-        js.object_or_text(raw, ("agentNumber", "number", "id"), "agent", "assignedTo").alias("agent_number"),
+        js.object_or_text(
+            ("agentNumber", "number", "id"), js.json_text(raw, "agent"), js.json_text(raw, "assignedTo")
+        ).alias("agent_number"),
         js.first_path(raw, "asset.serials.0", "serial").alias("serial"),
         js.first_path(raw, "_id", "contractNumber").alias("item_id"),
     )

@@ -92,7 +92,7 @@ PAYMENT_SQL = f"""
 @query("src_json_pages", PAYMENT_SQL)
 def src_json_pages(t: Tables):
     path = scratch_path(t.spark, "pages")
-    bronze.land_pages(raw_payments(t), path, page_size=FEEDS["payments"].page_size)
+    bronze.land_items(raw_payments(t), path)
     items = bronze.read_items(t.spark, path)
     return present(
         A_PAYMENTS.rows(items).select(
@@ -107,7 +107,7 @@ def src_json_pages(t: Tables):
 )
 def src_json_typed(t: Tables):
     path = scratch_path(t.spark, "pages")
-    bronze.land_pages(raw_payments(t), path)
+    bronze.land_items(raw_payments(t), path)
     typed = bronze.read_pages(t.spark, path, "amount string, status string, paymentCode string")
     return present(
         typed.groupBy("status", F.col("paymentCode").alias("payment_code")).agg(
@@ -143,7 +143,7 @@ def _land_events(t: Tables):
         F.col("event_type").alias("type"), F.col("amount").cast("string").alias("value"),
     )
     # One shuffle by day, so each day's folder gets few files.
-    bronze.land_pages(raw.hint("rebalance", "ingest_date"), path)
+    bronze.land_items(raw.hint("rebalance", "ingest_date"), path)
     return path
 
 
@@ -283,7 +283,7 @@ def run_ledger(t: Tables):
 def daily_medallion(t: Tables):
     root = scratch_path(t.spark, "lake")
     for name, raw in (("contracts", raw_contracts(t)), ("payments", raw_payments(t)), ("assets", raw_assets(t))):
-        bronze.land_pages(raw, bronze.entity_path(f"{root}/bronze", "a", name))
+        bronze.land_items(raw, bronze.entity_path(f"{root}/bronze", "a", name))
     snapshot = daily.run_daily(
         t.spark, f"{root}/bronze", f"{root}/silver/1", f"{root}/snapshots", f"{root}/ledger",
         t.b_contracts, t.b_payments, t.fx_asset_map, t.b_ledger, t.b_products, t.fx_exclusions, t.b_paid_off,
