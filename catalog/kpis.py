@@ -24,10 +24,13 @@ def financials(t: Tables, latest: bool = False):
     return co.b_financials(t.b_payments, t.fx_asset_map, t.b_ledger, latest)
 
 
-def contracts(t: Tables, **options):
-    return co.unified_contracts(
-        t.a_contracts, t.a_assets, t.b_contracts, financials(t), t.b_products, t.fx_exclusions,
-        t.b_paid_off, RULES, AS_OF, **options,
+def contracts(t: Tables):
+    return t.keep(
+        "unified contracts",
+        lambda: co.unified_contracts(
+            t.a_contracts, t.a_assets, t.b_contracts, financials(t), t.b_products, t.fx_exclusions,
+            t.b_paid_off, RULES, AS_OF,
+        ),
     )
 
 

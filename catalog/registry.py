@@ -19,7 +19,7 @@ def query(name: str, oracle: str | None = None):
     """Register ``fn(tables) -> DataFrame`` and its oracle SQL."""
 
     def add(fn: Callable[[Tables], DataFrame]):
-        QUERIES[name] = lambda spark, folder: fn(Tables(spark, folder))
+        QUERIES[name] = lambda spark, folder: fn(Tables.of(spark, folder))
         if oracle is not None:
             ORACLES[name] = with_views(oracle, ORACLE_VIEWS)
         return fn

@@ -8,7 +8,9 @@ every row of the base tables is used.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from datetime import date
+from typing import ClassVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -216,27 +218,56 @@ def with_views(sql: str, extra: dict[str, str] | None = None) -> str:
 
 
 class Tables:
-    """The given tables of one folder and the views over them, as DataFrames."""
+    """The given tables of one folder and the views over them, as DataFrames.
+
+    ``Tables.of`` keeps one instance per session and folder, so a table's schema is read
+    and a view's SQL analysed once; only plans are kept, never data.
+    """
+
+    _known: ClassVar[dict[tuple[str, str], Tables]] = {}
+    _views_of: ClassVar[dict[str, str]] = {}
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark = spark
         self.folder = folder.rstrip("/")
-        for name in BASE:
-            self.base(name).createOrReplaceTempView(name)
+        self._frames: dict[str, DataFrame] = {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, folder: str) -> Tables:
+        key = (spark.sparkContext.applicationId, folder)
+        known = cls._known.get(key)
+        if known is None or known.spark is not spark:
+            known = cls._known[key] = cls(spark, folder)
+        return known
 
     def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._frames:
+            self._frames[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._frames[name]
 
     def sql(self, text: str) -> DataFrame:
+        app = self.spark.sparkContext.applicationId
+        if self._views_of.get(app) != self.folder:
+            for name in BASE:
+                self.base(name).createOrReplaceTempView(name)
+            self._views_of[app] = self.folder
         return self.spark.sql(with_views(text))
 
+    def keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """The plan ``build`` makes, made once."""
+        if name not in self._frames:
+            self._frames[name] = build()
+        return self._frames[name]
+
     def __getattr__(self, name: str) -> DataFrame:
-        if name in VIEWS:
-            return self.sql(f"SELECT * FROM {name}")
         if name in BASE:
             return self.base(name)
-        raise AttributeError(name)
+        if name not in VIEWS:
+            raise AttributeError(name)
+        if name not in self._frames:
+            self._frames[name] = self.sql(f"SELECT * FROM {name}")
+        return self._frames[name]
 
 
 def present(df: DataFrame, round_to: dict[str, int] | None = None) -> DataFrame:
