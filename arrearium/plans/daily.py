@@ -30,15 +30,14 @@ def refresh_silver(
     With a previous version only the items of ``ingest_date`` are read, and only the
     keys they touch are folded.  Without one, all landed pages are replayed.
     """
-    items = bronze.read_items(spark, bronze_path)
     if previous_path is None:
-        rows = spec.rows(items)
-        table = spec.current(rows)
+        table = spec.current(spec.rows(bronze.read_items(spark, bronze_path)))
     else:
         # Stored once: the batch is read twice below, and its file size tells the
         # planner whether its keys can be broadcast.
         staged = f"{out_path}-batch"
-        spec.batch_rows(spec.rows(bronze.on_date(items, ingest_date))).write.parquet(staged)
+        items = bronze.read_items(spark, bronze_path, ingest_date=ingest_date)
+        spec.batch_rows(spec.rows(items)).write.parquet(staged)
         rows = spark.read.parquet(staged)
         order = [c for c in bronze.ITEM_ORDER if c in rows.columns]
         table = upsert_touched(

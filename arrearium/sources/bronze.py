@@ -87,19 +87,33 @@ def _place() -> list[Column]:
     ]
 
 
-def read_items(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
+def _landed(df: DataFrame, ingest_date: str | None) -> DataFrame:
+    """The lines with ``ingest_date`` as a date (null outside dated folders).
+
+    The date filter sits directly on the scan: above the row numbering it could not
+    prune folders.
+    """
+    if "ingest_date" not in df.columns:
+        return df.withColumn("ingest_date", F.lit(None).cast("date"))
+    dated = df if ingest_date is None else on_date(df, ingest_date)
+    return dated.withColumn("ingest_date", F.col("ingest_date").cast("date"))
+
+
+def read_items(
+    spark: SparkSession, path: str, whole_files: bool = False, ingest_date: str | None = None
+) -> DataFrame:
     """Raw items as JSON text in ``raw``, one row per item.
 
     A line is one object or one page (an array of objects).  ``whole_files=True`` reads
     files that hold one pretty-printed page each.  Adds the columns of ``ITEM_ORDER``:
-    a total order in which later items override earlier ones.
+    a total order in which later items override earlier ones.  With ``ingest_date`` only
+    that day's folder is read.
     """
-    lines = spark.read.text(path, wholetext=whole_files)
-    dated = F.col("ingest_date") if "ingest_date" in lines.columns else F.lit(None).cast("date")
+    lines = _landed(spark.read.text(path, wholetext=whole_files), ingest_date)
     is_page = F.ltrim("value").startswith("[")
     items = F.when(is_page, F.from_json("value", "array<string>")).otherwise(F.array("value"))
     return (
-        lines.select(dated.cast("date").alias("ingest_date"), items.alias("_items"), *_place())
+        lines.select("ingest_date", items.alias("_items"), *_place())
         .select(
             "ingest_date", "page", "file_path", "block_start", "line",
             F.posexplode("_items").alias("_pos", "raw"),
@@ -126,13 +140,14 @@ def _na_to_null(name: str) -> Column:
     return F.when(~c.isin(*values.CSV_NA_TOKENS), c).alias(name)
 
 
-def read_csv_export(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+def read_csv_export(
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, ingest_date: str | None = None
+) -> DataFrame:
     """``read_csv_strings`` plus the file-order columns (page is null)."""
-    df = spark.read.option("header", True).csv(path)
-    dated = F.col("ingest_date") if "ingest_date" in df.columns else F.lit(None).cast("date")
+    df = _landed(spark.read.option("header", True).csv(path), ingest_date)
     wanted = [c for c in (columns or df.columns) if c in df.columns and c != "ingest_date"]
     return df.select(
-        dated.cast("date").alias("ingest_date"), *_place(), *[_na_to_null(c) for c in wanted]
+        "ingest_date", *_place(), *[_na_to_null(c) for c in wanted]
     ).withColumnRenamed("line", "position")
 
 

@@ -155,7 +155,7 @@ def _land_events(t: Tables):
 def src_latest_partition(t: Tables):
     path = _land_events(t)
     newest = bronze.latest_date(t.spark, path)
-    items = bronze.on_date(bronze.read_items(t.spark, path), newest)
+    items = bronze.read_items(t.spark, path, ingest_date=newest)
     from arrearium.functions.jsonpath import json_text
 
     raw = F.col("raw")

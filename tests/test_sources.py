@@ -1,8 +1,10 @@
 import hashlib
 import json
+import re
 from datetime import date, datetime
 from decimal import Decimal
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from arrearium.session import scratch_path
@@ -182,7 +184,7 @@ def test_landing_is_narrow_and_reads_back(spark):
     path = scratch_path(spark, "landing")
     df = spark.range(1000).select(F.lit("2025-01-01").cast("date").alias("ingest_date"), F.col("id").cast("string").alias("transactionId"))
     bronze.land_items(df, path)
-    back = bronze.on_date(bronze.read_items(spark, path), "2025-01-01")
+    back = bronze.read_items(spark, path, ingest_date="2025-01-01")
     assert A_PAYMENTS.rows(back).select("transaction_id").distinct().count() == 1000
 
 
@@ -241,3 +243,43 @@ def test_ledger_row(spark):
     assert (r.run_date, r.rows_count, r.duration_sec) == (date(2025, 1, 1), 5, Decimal("1.23"))
 
 
+
+
+def test_one_day_reads_one_folder(spark):
+    path = scratch_path(spark, "days")
+    days = spark.range(10).select(
+        F.expr("date_add(DATE '2025-01-01', cast(id as int))").alias("ingest_date"), F.lit("t").alias("transactionId")
+    )
+    bronze.land_items(days, path)
+    bronze.land_csv(days, path + "-csv")
+    for df in (bronze.read_items(spark, path, ingest_date="2025-01-03"),
+               bronze.read_csv_export(spark, path + "-csv", ingest_date="2025-01-03")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"PartitionFilters: \[isnotnull\(ingest_date#\d+\), \(ingest_date#\d+ = 2025-01-03\)\]", plan)
+        assert df.count() == 1
+
+
+def test_filter_counts_what_it_drops(spark):
+    seen = Observation()
+    df = spark.createDataFrame([("a",), (None,), ("b",)], "k string")
+    assert ingest.filter_counted(df, F.col("k").isNotNull(), seen).count() == 2
+    assert seen.get == {"n_before": 3, "n_kept": 2}
+
+
+def test_next_day_folds_only_touched_keys(spark):
+    from arrearium.plans.daily import refresh_silver
+
+    root = scratch_path(spark, "silver")
+
+    def land_day(day, rows):
+        df = spark.createDataFrame(rows, "paygNumber string, status string, serialNumber string")
+        bronze.land_items(df.withColumn("ingest_date", F.lit(day).cast("date")), root + "/bronze")
+
+    land_day("2025-01-01", [("p1", "STOCK", "s1"), ("p2", "STOCK", "s2")])
+    refresh_silver(spark, A_ASSETS, root + "/bronze", root + "/v1")
+    land_day("2025-01-02", [("p2", "DEPLOYED", "changed"), ("p3", "STOCK", "s3")])
+    day = refresh_silver(spark, A_ASSETS, root + "/bronze", root + "/v2", root + "/v1", "2025-01-02")
+    full = refresh_silver(spark, A_ASSETS, root + "/bronze", root + "/full")
+    keep = ["payg_number", "status", "serial_number"]
+    want = [("p1", "STOCK", "s1"), ("p2", "DEPLOYED", "s2"), ("p3", "STOCK", "s3")]
+    assert sorted(map(tuple, day.select(keep).collect())) == sorted(map(tuple, full.select(keep).collect())) == want
