@@ -53,6 +53,50 @@ def not_in(df: DataFrame, members: DataFrame, key: str, member_key: str) -> Data
     return kept.filter(empty | (no_null & F.col(key).isNotNull()))
 
 
+# A key is hot when it holds more than 1 / HOT_SHARE of the rows, so there are fewer than
+# HOT_SHARE hot keys whatever the data.  Each is cut into HOT_PARTS parts.
+HOT_SHARE = 200
+HOT_PARTS = 200
+
+
+def spread_join(
+    facts: DataFrame,
+    dim: DataFrame,
+    fact_key: str,
+    dim_key: str,
+    row_id: str,
+    counts: DataFrame | None = None,
+) -> DataFrame:
+    """Inner join of fact rows to a dimension, with hot keys spread over many tasks.
+
+    Rows of a hot key are dealt to parts by a hash of ``row_id`` and the dimension rows
+    of that key are copied to every part.  Other keys join as usual.  The list of hot
+    keys has fewer than ``HOT_SHARE`` rows by definition, so broadcasting it is safe.
+    ``counts`` (``fact_key``, ``n``) saves the counting pass when it is already known.
+    """
+    n = counts if counts is not None else facts.groupBy(fact_key).agg(F.count(F.lit(1)).alias("n"))
+    total = n.agg(F.sum("n")).scalar()
+    hot = F.broadcast(
+        n.filter(F.col("n") * HOT_SHARE > total).select(F.col(fact_key).alias("_hot"))
+    )
+    parts = (
+        facts.join(hot, F.col(fact_key) == F.col("_hot"), "left")
+        .withColumn(
+            "_part",
+            F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(row_id), F.lit(HOT_PARTS)).cast("int")).otherwise(0),
+        )
+        .drop("_hot")
+    )
+    every = F.sequence(F.lit(0), F.lit(HOT_PARTS - 1))
+    copies = (
+        dim.join(hot, F.col(dim_key) == F.col("_hot"), "left")
+        .withColumn("_copy", F.explode(F.when(F.col("_hot").isNotNull(), every).otherwise(F.array(F.lit(0)))))
+        .drop("_hot")
+    )
+    on = (F.col(fact_key) == F.col(dim_key)) & (F.col("_part") == F.col("_copy"))
+    return parts.join(copies, on, "inner").drop("_part", "_copy")
+
+
 def bridge_sums(
     facts: DataFrame,
     fact_key: str,

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from arrearium import values
 from arrearium.functions.amounts import sum_if
 from arrearium.functions.dates import month_start
-from arrearium.operators.joins import not_in
-from arrearium.operators.windows import mark_first
+from arrearium.operators.joins import not_in, spread_join
 from arrearium.rules import PortfolioRules
 
 
@@ -61,24 +60,41 @@ def classified_payments(
         )
         .filter(F.col("payment_class").isNotNull())
     )
-    accounts = asset_map.join(
-        recent_installations(b_contracts, excluded, rules), "installation_id", "inner"
-    ).select("asset_number", "installation_id")
-    b = (
-        b_collected(b_payments)
-        .join(accounts, F.col("account") == F.col("asset_number"), "inner")
-        .withColumn("_undated", F.col("paid_time").isNull())
-    )
-    b = mark_first(b, "installation_id", "transaction_id", ["_undated", "paid_time"], "_first").select(
+    recent = recent_installations(b_contracts, excluded, rules)
+    accounts = asset_map.join(recent, "installation_id", "left_semi")
+    b = with_first_payment(b_collected(b_payments), accounts).select(
         "transaction_id",
         F.col("installation_id").alias("contract_number"),
         F.col("paid_time").cast("timestamp").alias("payment_date"),
         "amount",
-        F.when(F.col("_first"), "upfront").otherwise("recharge").alias("payment_class"),
+        F.when(F.col("is_first"), "upfront").otherwise("recharge").alias("payment_class"),
     )
     return a.unionByName(b)
 
 
+def with_first_payment(payments: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Payments with their installation and ``is_first``: the installation's earliest one.
+
+    The earliest payment is found per account, then per installation, as aggregates; its
+    id travels with the account, so the payments themselves are shuffled once.
+    """
+    at = F.struct(F.col("paid_time").isNull().alias("undated"), "paid_time", "transaction_id")
+    per_account = payments.groupBy("account").agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("_at"))
+    firsts = (
+        accounts.join(per_account, F.col("asset_number") == F.col("account"), "inner")
+        .groupBy("installation_id")
+        .agg(F.min("_at").alias("_at"))
+        .select("installation_id", F.col("_at.transaction_id").alias("_first_id"))
+    )
+    linked = accounts.join(firsts, "installation_id").select("asset_number", "installation_id", "_first_id")
+    counts = per_account.select("account", "n")
+    return (
+        spread_join(payments, linked, "account", "asset_number", "transaction_id", counts)
+        .withColumn("is_first", F.col("transaction_id") == F.col("_first_id"))
+        .drop("_first_id", "asset_number")
+    )
+
+
 def a_paid_by_month(a_payments: DataFrame) -> DataFrame:
     """Per contract and month: upfront, recharge and every accepted amount.
 

@@ -384,13 +384,30 @@ def financials_ledger_first(t: Tables):
     FROM b_payments p JOIN fx_asset_map m ON m.asset_number = p.account WHERE p.payment_status <> 'REVERSED'""",
 )
 def first_payment_class(t: Tables):
-    linked = (
-        t.b_payments.filter(F.col("payment_status") != "REVERSED")
-        .join(t.fx_asset_map, F.col("account") == F.col("asset_number"))
-        .select("transaction_id", "installation_id", "paid_time", "amount")
-    )
-    marked = windows.mark_first(linked, "installation_id", "transaction_id", ["paid_time"], "is_first")
-    return present(marked.drop("paid_time"))
+    from arrearium.plans.payments import b_collected, with_first_payment
+
+    marked = with_first_payment(b_collected(t.b_payments), t.fx_asset_map)
+    return present(marked.select("transaction_id", "installation_id", "amount", "is_first"))
+
+
+@query(
+    "mark_first_per_contract",
+    f"""SELECT transaction_id, contract_number, {dbl('amount')} AS amount,
+     row_number() OVER (PARTITION BY contract_number ORDER BY payment_date, transaction_id) = 1 AS is_first FROM a_payments""",
+)
+def mark_first_per_contract(t: Tables):
+    marked = windows.mark_first(t.a_payments, "contract_number", "transaction_id", ["payment_date"], "is_first")
+    return present(marked.select("transaction_id", "contract_number", "amount", "is_first"))
+
+
+@query(
+    "join_row_level",
+    f"""SELECT p.transaction_id, m.installation_id, {dbl('p.amount')} AS amount FROM b_payments p
+    JOIN fx_asset_map m ON m.asset_number = p.account""",
+)
+def join_row_level(t: Tables):
+    linked = joins.spread_join(t.b_payments, t.fx_asset_map, "account", "asset_number", "transaction_id")
+    return present(linked.select("transaction_id", "installation_id", "amount"))
 
 
 @query(

@@ -182,6 +182,18 @@ def test_match_rate(spark):
     assert (none.matched, none.total, none.match_pct) == (0, 0, None)
 
 
+def test_spread_join_splits_a_hot_key_and_keeps_every_pair(spark):
+    facts = [(i, "hot" if i % 3 == 0 else f"k{i % 500}") for i in range(3000)] + [(9001, None), (9002, "unknown")]
+    dim = [(f"k{i}", f"v{i}") for i in range(500)] + [("hot", "v1"), ("hot", "v2"), (None, "v0")]
+    f = spark.createDataFrame(facts, "id int, k string")
+    d = spark.createDataFrame(dim, "dk string, v string")
+    got = joins.spread_join(f, d, "k", "dk", "id")
+    assert got.columns == ["id", "k", "dk", "v"]
+    plain = f.join(d, F.col("k") == F.col("dk"))
+    assert rows(got) == rows(plain)
+    assert joins.spread_join(f.limit(0), d, "k", "dk", "id").count() == 0
+
+
 def test_mark_first_and_running_total_with_a_hot_key(spark):
     rng = random.Random(7)
     data = [(i, "hot" if i % 3 == 0 else f"k{i % 17}", date(2024, 1, 1) + timedelta(days=rng.randrange(90)), i % 10) for i in range(900)]
