@@ -33,12 +33,22 @@ def clean_int(c: Column, drop: str = ", ") -> Column:
     return clean_number(c, drop, "decimal(28,6)").try_cast("int")
 
 
-def parse_timestamp(c: Column, formats: Sequence[str]) -> Column:
-    """First pattern that reads the text wins; null when none does."""
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
+Format = tuple[str, str | None]
 
 
-def clean_timestamp(c: Column, formats: Sequence[str] = values.LENIENT_FORMATS) -> Column:
+def parse_timestamp(c: Column, formats: Sequence[Format]) -> Column:
+    """First format that reads the text wins; null when none does.
+
+    The shape test comes first because a failed parse costs an exception per row.
+    """
+    tries = []
+    for shape, pattern in formats:
+        read = c.try_cast("timestamp") if pattern is None else F.try_to_timestamp(c, F.lit(pattern))
+        tries.append(F.when(c.rlike(shape), read))
+    return F.coalesce(*tries)
+
+
+def clean_timestamp(c: Column, formats: Sequence[Format] = values.LENIENT_FORMATS) -> Column:
     return parse_timestamp(clean_text(c), formats)
 
 

@@ -46,20 +46,27 @@ REPORT_BUCKETS = {
     "other": "autre",
 }
 
-# Timestamp patterns, tried in order.
-ISO_Z = "yyyy-M-d'T'H:m:s[.SSSSSS]'Z'"
-ISO_DATE = "yyyy-M-d"
+# Timestamp formats: the shape of the text, and the pattern to read it with (None: the
+# standard ISO reading).  The first shape that fits and reads wins.
+_DAY = r"\d{4}-\d{1,2}-\d{1,2}"
+_CLOCK = r"\d{1,2}:\d{1,2}:\d{1,2}"
+_ZONE = r"(Z|[+-]\d{2}:?\d{2})?"
+ISO_Z = (rf"^{_DAY}T{_CLOCK}(\.\d{{1,6}})?Z$", None)
+ISO_DATE = (rf"^{_DAY}$", None)
+NAMED_MONTH_TIME = (rf"^\d{{1,2}}-[A-Za-z]{{3}}-\d{{4}} {_CLOCK}$", "d-MMM-yyyy H:m:s")
+NAMED_MONTH = (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy")
 A_FORMATS = (ISO_Z,)
 FORM_FORMATS = (ISO_Z, ISO_DATE)
-TASK_FORMATS = (ISO_Z, ISO_DATE, "d-MMM-yyyy H:m:s", "d-MMM-yyyy")
-EVENT_FORMATS = (ISO_Z, "yyyy-M-d H:m:s[XXX][XX]", ISO_DATE)
+TASK_FORMATS = (ISO_Z, ISO_DATE, NAMED_MONTH_TIME, NAMED_MONTH)
+EVENT_FORMATS = (ISO_Z, (rf"^{_DAY} {_CLOCK}{_ZONE}$", None), ISO_DATE)
 LENIENT_FORMATS = (
-    "yyyy-M-d H:m:s[.SSSSSS][XXX][XX]",
-    "yyyy-M-d'T'H:m:s[.SSSSSS][XXX][XX]",
-    "yyyy-M-d H:m",
-    "yyyy-M-d",
-    "yyyy/M/d[ H:m:s]",
-    "M/d/yyyy[ H:m:s]",
-    "d-MMM-yyyy[ H:m:s]",
-    "d MMM yyyy",
+    (rf"^{_DAY}([ T]{_CLOCK}(\.\d{{1,9}})?{_ZONE})?$", None),
+    (rf"^{_DAY} \d{{1,2}}:\d{{1,2}}$", "yyyy-M-d H:m"),
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    (rf"^\d{{4}}/\d{{1,2}}/\d{{1,2}} {_CLOCK}$", "yyyy/M/d H:m:s"),
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+    (rf"^\d{{1,2}}/\d{{1,2}}/\d{{4}} {_CLOCK}$", "M/d/yyyy H:m:s"),
+    NAMED_MONTH_TIME,
+    NAMED_MONTH,
+    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
 )
