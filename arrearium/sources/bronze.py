@@ -78,9 +78,9 @@ def _place() -> list[Column]:
     The page number is compared as a number (page 1000 comes after page 999).
     """
     path = F.col("_metadata.file_path")
-    page = F.regexp_extract(path, r"page_(\d+)", 1)
+    page = F.substring_index(F.substring_index(path, "page_", -1), ".", 1)
     return [
-        F.when(page != "", page).cast("int").alias("page"),
+        page.try_cast("int").alias("page"),
         path.alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("line"),

@@ -29,6 +29,8 @@ class EntitySpec:
     raw_schema: str | None = None  # system A: fields to read from the item, as ``j``
     alt_schema: str | None = None  # more fields, as ``k``: names that differ only in case
     renames: dict[str, str] = field(default_factory=dict)  # system B: header -> column
+    null_tokens: tuple[str, ...] = values.NULL_TOKENS  # system B: texts without a value
+    uncleaned: tuple[str, ...] = ()  # system B: columns handed over as they are
     keep: Callable[[], Column] | None = None  # business filter after typing
     keep_raw: Callable[[], Column] | None = None  # filter on the raw item
     in_batch: str = "all"  # copies of a key within one ingest date: all, last or first
@@ -42,10 +44,8 @@ class EntitySpec:
                 src = src.withColumn("k", F.from_json("raw", self.alt_schema))
         else:
             src = bronze
-            cells = [
-                F.col(f"`{found}`").alias(name) if found else F.lit(None).cast("string").alias(name)
-                for name, found in ((n, _header(src.columns, h)) for h, n in self.renames.items())
-            ]
+            # Text is cleaned once here; the typed columns below read it several times.
+            cells = [self._cell(name, _header(src.columns, h)) for h, name in self.renames.items()]
             src = src.select(*order, *cells)
         if self.keep_raw is not None:
             src = src.filter(self.keep_raw())
@@ -54,6 +54,12 @@ class EntitySpec:
             out = out.filter(F.col(k).isNotNull() & (F.col(k).cast("string") != ""))
         return out
 
+    def _cell(self, name: str, header: str | None) -> Column:
+        if header is None:
+            return F.lit(None).cast("string").alias(name)
+        raw = F.col(f"`{header}`")
+        return (raw if name in self.uncleaned else cl.clean_text(raw, self.null_tokens)).alias(name)
+
     def changing(self, df: DataFrame) -> list[str]:
         if self.mutable is not None:
             return list(self.mutable)
@@ -400,6 +406,11 @@ A_ASSET_EVENTS = EntitySpec(
 
 # ---- system B ------------------------------------------------------------------
 
+
+def _day(name: str) -> Column:
+    return cl.parse_timestamp(F.col(name), values.LENIENT_FORMATS).cast("date")
+
+
 B_CONTRACTS = EntitySpec(
     name="b_contracts",
     in_batch="last",
@@ -420,7 +431,7 @@ B_CONTRACTS = EntitySpec(
     },
     columns=lambda: {
         **{
-            c: cl.clean_text(F.col(c))
+            c: F.col(c)
             for c in (
                 "installation_id", "customer_id", "customer_name", "status", "region", "district",
                 "ward", "financial_type", "order_created_by", "lead_created_by", "installed_by",
@@ -429,7 +440,7 @@ B_CONTRACTS = EntitySpec(
         },
         "lease_term_in_months": cl.clean_int(F.col("lease_term_in_months"), ",$"),
         **{
-            c: cl.clean_date(F.col(c))
+            c: _day(c)
             for c in (
                 "requested_date", "unlocked_until", "paid_at", "activated_at", "canceled_at", "removed_at",
             )
@@ -453,14 +464,14 @@ B_PAYMENTS = EntitySpec(
     },
     columns=lambda: {
         **{
-            c: cl.clean_text(F.col(c))
+            c: F.col(c)
             for c in (
                 "transaction_id", "sender_name", "source_name", "payment_kind",
                 "external_reference", "payment_status", "account",
             )
         },
-        "paid_time": cl.clean_timestamp(F.col("paid_time")),
-        "amount": cl.clean_number(cl.clean_text(F.col("amount"))),
+        "paid_time": cl.parse_timestamp(F.col("paid_time"), values.LENIENT_FORMATS),
+        "amount": cl.clean_number(F.col("amount")),
     },
     keep=lambda: F.col("account").isNotNull(),
 )
@@ -472,14 +483,15 @@ B_ASSET_MAP = EntitySpec(
     mutable=None,
     renames={"asset_number": "asset_number", "contract_number": "installation_id"},
     columns=lambda: {
-        "asset_number": cl.clean_text(F.col("asset_number")),
-        "installation_id": cl.clean_text(F.col("installation_id")),
+        "asset_number": F.col("asset_number"),
+        "installation_id": F.col("installation_id"),
     },
     keep=lambda: F.col("installation_id").isNotNull(),
 )
 
 B_PRODUCTS = EntitySpec(
     name="b_products",
+    uncleaned=("deal_type",),
     in_batch="last",
     keys=("installation_id",),
     mutable=None,
@@ -490,7 +502,7 @@ B_PRODUCTS = EntitySpec(
         "monthly_payment": "monthly_payment",
     },
     columns=lambda: {
-        **{c: cl.clean_text(F.col(c)) for c in ("installation_id", "asset_number", "product_name")},
+        **{c: F.col(c) for c in ("installation_id", "asset_number", "product_name")},
         "deal_type": cl.lookup_deal(F.col("deal_type")),
         **{
             c: cl.clean_number(F.col(c))
@@ -501,6 +513,7 @@ B_PRODUCTS = EntitySpec(
 
 B_LEASE_LEDGER = EntitySpec(
     name="b_lease_ledger",
+    null_tokens=values.LEDGER_NULL_TOKENS,
     in_batch="last",
     keys=("contract_ogc", "posting_date"),
     mutable=("total_cash_collected", "ending_principal", "ending_interest", "total_ending_balance"),
@@ -513,14 +526,14 @@ B_LEASE_LEDGER = EntitySpec(
         "Total Ending Balance": "total_ending_balance", "Status": "status",
         "Subsidiary": "subsidiary", "Contract Type": "contract_type",
     },
-    keep_raw=lambda: cl.clean_text(F.col("contract_ogc"), values.LEDGER_NULL_TOKENS).startswith("OGC"),
+    keep_raw=lambda: F.col("contract_ogc").startswith("OGC"),
     columns=lambda: {
         **{
-            c: cl.clean_text(F.col(c), values.LEDGER_NULL_TOKENS)
+            c: F.col(c)
             for c in ("contract_ogc", "installation_id", "status", "subsidiary", "contract_type")
         },
-        "posting_date": cl.clean_date(F.col("posting_date"), ("", "nan")),
-        "billing_date": cl.clean_date(F.col("billing_date"), ("", "nan")),
+        "posting_date": _day("posting_date"),
+        "billing_date": _day("billing_date"),
         "period": cl.clean_int(F.col("period")),
         **{
             c: cl.clean_number(F.col(c))
