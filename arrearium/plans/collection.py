@@ -19,19 +19,22 @@ from arrearium.operators.asof import asof_month_ends
 from arrearium.plans.payments import a_paid_by_month, b_paid_by_month, recent_installations
 from arrearium.rules import PortfolioRules
 
-FACTS = (
-    "kind string, contract_number string, month_start date, upfront decimal(38,2), "
-    "recharge decimal(38,2), accepted decimal(38,2), counted decimal(38,2), cld int, "
-    "snap_deal string, snap_value decimal(38,2), snap_paid_off string"
-)
+# One shape for every fact before the contract join; a fact fills what it has.
+FACTS = {
+    "upfront": "decimal(38,2)",
+    "recharge": "decimal(38,2)",
+    "accepted": "decimal(38,2)",
+    "counted": "decimal(38,2)",
+    "cld": "int",
+    "snap_deal": "string",
+    "snap_value": "decimal(38,2)",
+    "snap_paid_off": "string",
+}
 
 
 def _facts(df: DataFrame, kind: str, **cols: Column) -> DataFrame:
-    out = [F.lit(kind).alias("kind"), F.col("contract_number"), F.col("month_start")]
-    for part in FACTS.split(", ")[3:]:
-        name, kind_of = part.rsplit(" ", 1)
-        out.append(cols.get(name, F.lit(None)).cast(kind_of).alias(name))
-    return df.select(*out)
+    filled = [cols.get(name, F.lit(None)).cast(to).alias(name) for name, to in FACTS.items()]
+    return df.select(F.lit(kind).alias("kind"), "contract_number", "month_start", *filled)
 
 
 def _in_months(df: DataFrame, on: str, first: date | str, last: date | str) -> DataFrame:
