@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrearium.llm import bpe, quality_rules, sharding, token_counts
+from arrearium.llm import bpe, near_dedup, quality_rules, sharding, token_counts, warc
 from arrearium.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,28 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
+@query("op1_bagminhash")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.class_of_documents(read(spark, folder, "documents"))
+
+
+@query(
+    "op3_warc",
+    """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    q AS (SELECT *, CASE WHEN strlen(html) >= 1000 THEN max(page_id) OVER (PARTITION BY html) END AS best FROM p)
+    SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
+           CASE WHEN best IS NOT NULL AND best <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN best IS NOT NULL AND best <> page_id THEN best END AS refers_to
+    FROM q
+    """,
+)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    manifest = warc.write(read(spark, folder, "pages"), warc.archive_folder(spark))
+    found = warc.read_all(manifest)
+    return found.select(F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op4_bpe")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     ranks = bpe.ranks_of(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
