@@ -19,7 +19,7 @@ from arrearium.session import scratch_path
 #: Bytes of text that a block of documents aims at: what one task holds in memory at once.
 BLOCK_BYTES = 24_000_000
 #: Bytes of text that the numpy helpers work on at once.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 
 _P = 0x9E3779B97F4A7C15 | 1
 _P_INV = pow(_P, -1, 2**64)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrearium.llm import bpe, near_dedup, quality_rules, sharding, token_counts, warc
+from arrearium.llm import bpe, near_dedup, quality_rules, sharding, suffix_dedup, token_counts, warc
 from arrearium.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +53,12 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(read(spark, folder, "documents"), ranks, pattern=public_tokenizers.PATTERN)
 
 
+@query("op5_suffix")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    out = suffix_dedup.without_repeats(read(spark, folder, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.lower(F.hex("kept")).alias("kept_sha256"))
+
+
 OP6_COUNTS = """
 WITH d AS (
   SELECT doc_id, source AS host, coalesce(text, '') AS t,
