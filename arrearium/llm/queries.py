@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrearium.llm import bpe, near_dedup, quality_rules, sharding, suffix_dedup, token_counts, warc
+from arrearium.llm import bpe, chaining, near_dedup, quality_rules, sharding, suffix_dedup, token_counts, warc
 from arrearium.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,11 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.class_of_documents(read(spark, folder, "documents"))
 
 
+@query("op2_chaining")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return chaining.repeated_passages(read(spark, folder, "documents"))
+
+
 @query(
     "op3_warc",
     """
