@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrearium.llm import bpe, chaining, near_dedup, quality_rules, sharding, suffix_dedup, token_counts, warc
+from arrearium.llm import backoff, bpe, chaining, near_dedup, quality_rules, sharding, suffix_dedup, token_counts, warc
 from arrearium.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,6 +114,35 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judged(read(spark, folder, "documents"))
 
 
+@query(
+    "op7_backoff",
+    """
+    WITH d AS (
+      SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    t AS (
+      SELECT doc_id, i, w[i] AS word, CASE WHEN i > 1 THEN w[i - 1] END AS prev
+      FROM (SELECT doc_id, w, unnest(generate_series(1, len(w))) AS i FROM d)),
+    one AS (SELECT word, count(*) AS c FROM t GROUP BY word),
+    two AS (SELECT prev, word, count(*) AS c FROM t WHERE prev IS NOT NULL GROUP BY ALL),
+    s AS (
+      SELECT t.doc_id, t.prev, two.c AS pair,
+             CASE WHEN two.c >= 2 THEN log10(two.c / p.c)
+                  ELSE log10(one.c) - log10((SELECT count(*) FROM t))
+                       + CASE WHEN t.prev IS NULL THEN 0 ELSE log10(0.4) END END AS x
+      FROM t JOIN one USING (word) LEFT JOIN two ON two.prev = t.prev AND two.word = t.word
+      LEFT JOIN one AS p ON p.word = t.prev),
+    r AS (
+      SELECT doc_id, count(*) AS n, count(*) FILTER (pair < 2) AS backoff, sum(x) AS x FROM s GROUP BY doc_id)
+    SELECT doc_id, coalesce(n, 0) AS n_words, coalesce(backoff, 0) AS n_backoff, round(x, 4) AS log_score,
+           round(x / n, 4) AS mean_log_score
+    FROM d LEFT JOIN r USING (doc_id)
+    """,
+)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    out = backoff.scores(read(spark, folder, "documents"))
+    return out.withColumns({c: F.round(c, 4) for c in ("log_score", "mean_log_score")})
+
+
 @query("op8_shards")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     out = sharding.shuffled(sharding.digest(read(spark, folder, "documents")))
