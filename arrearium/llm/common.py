@@ -126,13 +126,13 @@ class Words:
         return np.diff(self.first)
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """All words; none crosses the border of two texts."""
+def words_of(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = _SPACE) -> Words:
+    """All words, the runs of bytes that ``space`` does not mark; none crosses the border of two texts."""
     n = len(data)
     if n == 0:
         none = np.zeros(0, np.int64)
         return Words(none, none, none, none.astype(np.uint64), np.zeros(len(offsets), np.int64))
-    inside = ~_SPACE[data]
+    inside = ~space[data]
     fresh = inside.copy()
     fresh[1:] &= ~inside[:-1]
     border = offsets[:-1][offsets[:-1] < n]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrearium.llm import backoff, bpe, chaining, near_dedup, quality_rules, sharding, suffix_dedup, token_counts, warc
+from arrearium.llm import backoff, bpe, chaining, decontaminate, near_dedup, quality_rules, sharding, suffix_dedup, token_counts, warc
 from arrearium.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,6 +149,11 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("*", F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query("op9_decontaminate")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
 @query("op10_counts")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     file = token_counts.content(spark, public_tokenizers.path("byte_bpe_50k.json"))
