@@ -30,11 +30,11 @@ from arrearium.llm.common import chunks, texts_of, words_of
 
 #: Hashed words, latent dimensions, words in a passage and in a unit of a window.
 FEATURES, DIMENSIONS, PASSAGE, UNIT = 1 << 14, 48, 64, 8
-COSINE, VERBATIM, PARAPHRASE, LEAST_WORDS = 0.5, 0.75, 0.5, 8
+COSINE, VERBATIM, PARAPHRASE, LEAST_WORDS = 0.62, 0.75, 0.5, 8
 #: Bytes of benchmark text in one block of queries; a longer benchmark takes a pass over the documents per block.
 QUERY_BYTES = 4_000_000
 #: Bytes of text worked on at once: their words' vectors stay in a core's cache.
-RANGE_BYTES = 150_000
+RANGE_BYTES = 60_000
 #: Rows of the sketch that are added up together.
 STRIPES = 16
 
@@ -179,7 +179,7 @@ def _prepared(rows: list[tuple[int | None, str | None]], space: np.ndarray) -> I
     groups: dict[int, list[int]] = {}
     for i, w in enumerate(words):
         if len(w):
-            groups.setdefault(max(1, round(len(w) / UNIT)), []).append(i)
+            groups.setdefault(max(2, 2 * round(len(w) / UNIT / 2)), []).append(i)
     by_units = {}
     for units, members in groups.items():
         vectors = np.stack([space[_feature(words[i])].sum(axis=0) for i in members])
@@ -233,20 +233,22 @@ def _candidates(space: np.ndarray, items: Items, h: np.ndarray, first: np.ndarra
     units = len(start)
     if units == 0:
         return
-    sums = np.add.reduceat(space[_feature(h)], start, dtype=np.float32)
-    prefix = np.concatenate([np.zeros((1, sums.shape[1])), np.cumsum(sums, axis=0, dtype=np.float64)])
+    sums = np.add.reduceat(space[_feature(h)], start)
+    prefix = np.zeros((units + 1, sums.shape[1]), np.float32)
+    np.cumsum(sums, axis=0, out=prefix[1:])
     text = np.repeat(np.arange(len(first) - 1), np.diff(begin))
     final = begin[text + 1]
     for n, (members, vectors) in items.by_units.items():
-        # Every window, and windows cut short by the end of the text.
-        end = np.minimum(np.arange(units) + n, final)
-        window = (prefix[end] - prefix[:-1]).astype(np.float32)
+        # Windows that overlap by half or more, also those cut short by the end of the text.
+        step = 1 if n == 2 else 2
+        at = np.flatnonzero((np.arange(units) - begin[text]) % step == 0)
+        window = prefix[np.minimum(at + n, final[at])] - prefix[at]
         window /= np.maximum(np.sqrt(np.einsum("ij,ij->i", window, window)), 1e-30)[:, None]
         similar = window @ vectors
         place, item = np.nonzero(similar >= cosine)
         if len(place) == 0:
             continue
-        value = similar[place, item]
+        value, place = similar[place, item], at[place]
         order = np.lexsort((place, item, text[place]))
         place, item, value = place[order], item[order], value[order]
         apart = np.ones(len(place), bool)
