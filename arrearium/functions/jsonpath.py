@@ -52,6 +52,11 @@ def surrogate_key(*parts: Column) -> Column:
     return F.sha1(F.concat_ws("||", *texts))
 
 
-def content_id(row: Column) -> Column:
-    """Reproducible id from a whole struct, for items without any id."""
-    return F.xxhash64(F.to_json(row)).cast("string")
+def content_id(*parts: Column) -> Column:
+    """Reproducible id for items without any id: SHA-256 of the parts' texts in the order given.
+
+    Each text is preceded by its length and null is told from empty text, so no two
+    different rows have one text.
+    """
+    texts = [p.cast("string") for p in parts]
+    return F.sha2(F.concat(*[F.coalesce(F.concat(F.length(t), F.lit(":"), t), F.lit("-")) for t in texts]), 256)

@@ -19,6 +19,9 @@ from arrearium.operators.asof import asof_month_ends
 from arrearium.plans.payments import a_paid_by_month, b_paid_by_month, recent_installations
 from arrearium.rules import PortfolioRules
 
+# An instalment is quoted for so many days, whatever the free period.
+MONTH_DAYS = 30
+
 # One shape for every fact before the contract join; a fact fills what it has.
 FACTS = {
     "upfront": "decimal(38,2)",
@@ -195,7 +198,7 @@ def _free_period_measures(
     starts = month_start(registered.cast("date")) == m
     free_until = F.date_add(registered.cast("date"), rules.free_days)
     days = F.greatest(F.lit(0), F.datediff(last_day, F.greatest(m, free_until)) + 1)
-    recharge_due = (F.col("due_monthly") * days).cast("decimal(38,6)") / F.lit(rules.free_days)
+    recharge_due = (F.col("due_monthly") * days).cast("decimal(38,6)") / F.lit(MONTH_DAYS)
     settled = (F.col("snap_paid_off") == "true") & (F.col(paid_off_source) < m)
     free = (deal != "FULL") & (free_until >= last_day)
     owes = ~F.coalesce(free | settled, F.lit(False))

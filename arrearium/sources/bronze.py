@@ -1,4 +1,8 @@
-"""Raw landing zone: ``{root}/{source}/{entity}/ingest_date=YYYY-MM-DD/`` files."""
+"""Raw landing zone: ``{root}/{source}/{entity}/ingest_date=YYYY-MM-DD/landing=N/`` files.
+
+A day may be landed again: the next landing number makes the newer items override the older ones.  What cannot be
+read stops the job or goes to a table of rejects; nothing vanishes.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +13,7 @@ from pyspark.sql import functions as F
 
 from arrearium import values
 
-ITEM_ORDER = ("ingest_date", "page", "file_path", "block_start", "position")
+ITEM_ORDER = ("ingest_date", "landing", "page", "file_path", "block_start", "position")
 
 
 def entity_path(root: str, source: str, entity: str) -> str:
@@ -19,18 +23,31 @@ def entity_path(root: str, source: str, entity: str) -> str:
 # ---- landing -------------------------------------------------------------------
 
 
-def land_items(df: DataFrame, path: str) -> None:
+def land_items(df: DataFrame, path: str, landing: int = 0) -> None:
     """Write rows as JSON, one object per line, under their ``ingest_date`` folders.
 
     A narrow write: nothing is shuffled and the files stay splittable.  Rows of many
     dates should be rebalanced by date first, so that every task writes few folders.
+    ``landing`` numbers the landings of a day (``next_landing``); a repeated landing of
+    the same number adds to it.
     """
-    df.write.mode("append").partitionBy("ingest_date").json(path)
+    numbered = df.withColumn("landing", F.lit(landing))
+    numbered.write.mode("append").partitionBy("ingest_date", "landing").json(path)
+
+
+def land_csv(df: DataFrame, path: str, landing: int = 0) -> None:
+    """Write an export as header CSV under its ``ingest_date`` folders; quotes are doubled."""
+    numbered = df.withColumn("landing", F.lit(landing))
+    (
+        numbered.write.mode("append").partitionBy("ingest_date", "landing")
+        .option("header", True).option("escape", '"').csv(path)
+    )
 
 
-def land_csv(df: DataFrame, path: str) -> None:
-    """Write an export as header CSV under its ``ingest_date`` folders."""
-    df.write.mode("append").partitionBy("ingest_date").option("header", True).csv(path)
+def next_landing(spark: SparkSession, path: str, ingest_date: str) -> int:
+    """The number after the day's last landing, from the names of its folders."""
+    numbers = [int(f.removeprefix("landing=")) for f in folders(spark, f"{path}/ingest_date={ingest_date}")]
+    return max(numbers, default=-1) + 1
 
 
 # ---- file choice ---------------------------------------------------------------
@@ -50,10 +67,19 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     ).withColumnRenamed("modificationTime", "modified")
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the ``name=value`` folders directly below a path; no file is listed."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(where):
+        return []
+    return sorted(s.getPath().getName() for s in system.listStatus(where) if "=" in s.getPath().getName())
+
+
 def latest_date(spark: SparkSession, path: str) -> str | None:
-    """Newest ingest date of an entity, from the file listing (one row to the driver)."""
-    row = list_files(spark, path).agg(F.max("ingest_date").cast("string").alias("d")).first()
-    return row["d"]
+    """Newest ingest date of an entity, from the names of its date folders."""
+    dates = [f.removeprefix("ingest_date=") for f in folders(spark, path) if f.startswith("ingest_date=")]
+    return max(dates, default=None)
 
 
 def preferred_file(files: DataFrame, preferred: str | None = None) -> DataFrame:
@@ -88,19 +114,36 @@ def _place() -> list[Column]:
 
 
 def _landed(df: DataFrame, ingest_date: str | None) -> DataFrame:
-    """The lines with ``ingest_date`` as a date (null outside dated folders).
+    """The lines with ``ingest_date`` as a date and ``landing`` (null and 0 outside such folders).
 
     The date filter sits directly on the scan: above the row numbering it could not
     prune folders.
     """
+    if "landing" not in df.columns:
+        df = df.withColumn("landing", F.lit(0))
     if "ingest_date" not in df.columns:
         return df.withColumn("ingest_date", F.lit(None).cast("date"))
     dated = df if ingest_date is None else on_date(df, ingest_date)
     return dated.withColumn("ingest_date", F.col("ingest_date").cast("date"))
 
 
+def _is_unreadable(value: Column) -> Column:
+    """Text that is neither an object nor an array of them, such as a page that was cut off."""
+    starts = F.ltrim(value).startswith("[") | F.ltrim(value).startswith("{")
+    return F.try_parse_json(value).isNull() | ~starts
+
+
+def _lines(spark: SparkSession, path: str, whole_files: bool, ingest_date: str | None) -> DataFrame:
+    """Landed lines that hold something."""
+    return _landed(spark.read.text(path, wholetext=whole_files), ingest_date).where(F.trim("value") != "")
+
+
 def read_items(
-    spark: SparkSession, path: str, whole_files: bool = False, ingest_date: str | None = None
+    spark: SparkSession,
+    path: str,
+    whole_files: bool = False,
+    ingest_date: str | None = None,
+    skip_unreadable: bool = False,
 ) -> DataFrame:
     """Raw items as JSON text in ``raw``, one row per item.
 
@@ -108,14 +151,23 @@ def read_items(
     files that hold one pretty-printed page each.  Adds the columns of ``ITEM_ORDER``:
     a total order in which later items override earlier ones.  With ``ingest_date`` only
     that day's folder is read.
+
+    A line that cannot be read fails the job.  With ``skip_unreadable`` the readable
+    lines are handed out; ``read_rejects`` hands out the others.
     """
-    lines = _landed(spark.read.text(path, wholetext=whole_files), ingest_date)
+    lines = _lines(spark, path, whole_files, ingest_date)
+    bad = _is_unreadable(F.col("value"))
+    if skip_unreadable:
+        lines = lines.where(~bad)
+    else:
+        said = F.concat(F.lit("unreadable item in "), F.col("_metadata.file_path"), F.lit(": "), F.left("value", F.lit(80)))
+        lines = lines.withColumn("value", F.when(bad, F.raise_error(said)).otherwise(F.col("value")))
     is_page = F.ltrim("value").startswith("[")
     items = F.when(is_page, F.from_json("value", "array<string>")).otherwise(F.array("value"))
     return (
-        lines.select("ingest_date", items.alias("_items"), *_place())
+        lines.select("ingest_date", "landing", items.alias("_items"), *_place())
         .select(
-            "ingest_date", "page", "file_path", "block_start", "line",
+            "ingest_date", "landing", "page", "file_path", "block_start", "line",
             F.posexplode("_items").alias("_pos", "raw"),
         )
         .withColumn("position", F.struct("line", "_pos"))
@@ -123,14 +175,36 @@ def read_items(
     )
 
 
+def read_rejects(
+    spark: SparkSession, path: str, whole_files: bool = False, ingest_date: str | None = None
+) -> DataFrame:
+    """The lines that ``read_items`` cannot read, with their place."""
+    bad = _lines(spark, path, whole_files, ingest_date).where(_is_unreadable(F.col("value")))
+    return bad.select("ingest_date", "landing", *_place()[:3], F.col("value").alias("raw"))
+
+
 def read_pages(spark: SparkSession, path: str, schema: str, whole_files: bool = False) -> DataFrame:
     """Typed items straight from JSON pages, with only the fields of ``schema``."""
     return spark.read.schema(schema).option("multiLine", whole_files).json(path)
 
 
-def read_csv_strings(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+def _csv(spark: SparkSession, line_breaks: bool):
+    """A reader of header CSV whose quotes are doubled inside quoted cells.
+
+    Cells may hold line breaks unless ``line_breaks`` is off; such files are not split.  A
+    file whose header differs from the columns asked for fails the job.
+    """
+    return (
+        spark.read.option("header", True).option("escape", '"')
+        .option("multiLine", line_breaks).option("enforceSchema", False)
+    )
+
+
+def read_csv_strings(
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, line_breaks: bool = True
+) -> DataFrame:
     """Header CSV with every column as text; missing-value spellings become null."""
-    df = spark.read.option("header", True).option("multiLine", False).csv(path)
+    df = _csv(spark, line_breaks).csv(path)
     wanted = df.columns if columns is None else [c for c in columns if c in df.columns]
     return df.select(*[_na_to_null(c) for c in wanted])
 
@@ -141,14 +215,34 @@ def _na_to_null(name: str) -> Column:
 
 
 def read_csv_export(
-    spark: SparkSession, path: str, columns: Sequence[str] | None = None, ingest_date: str | None = None
+    spark: SparkSession,
+    path: str,
+    columns: Sequence[str] | None = None,
+    ingest_date: str | None = None,
+    line_breaks: bool = True,
 ) -> DataFrame:
-    """``read_csv_strings`` plus the file-order columns (page is null)."""
-    df = _landed(spark.read.option("header", True).csv(path), ingest_date)
-    wanted = [c for c in (columns or df.columns) if c in df.columns and c != "ingest_date"]
-    return df.select(
-        "ingest_date", *_place(), *[_na_to_null(c) for c in wanted]
-    ).withColumnRenamed("line", "position")
+    """``read_csv_strings`` plus the file-order columns (page is null).
+
+    Every landing is read under its own header, so columns may move, come and go from
+    one to the next.  Landings with one header share a scan; headers are read on the
+    driver, a line of one file each.
+    """
+    days = [f"ingest_date={ingest_date}"] if ingest_date else folders(spark, path)
+    places = [f"{path}/{d}/{n}".rstrip("/") for d in days for n in folders(spark, f"{path}/{d}") or [""]]
+    reader = _csv(spark, line_breaks)
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for place in places or [path]:
+        by_header.setdefault(tuple(reader.csv(place).columns), []).append(place)
+    out = None
+    for header, paths in by_header.items():
+        schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in header)
+        df = _landed(reader.schema(schema).option("basePath", path).csv(paths), ingest_date)
+        wanted = [c for c in (columns or header) if c in header]
+        part = df.select(
+            "ingest_date", "landing", *_place(), *[_na_to_null(c) for c in wanted]
+        ).withColumnRenamed("line", "position")
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
 def project(df: DataFrame, mapping: Mapping[str, str], types: Mapping[str, str] | None = None) -> DataFrame:

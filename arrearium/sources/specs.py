@@ -580,4 +580,4 @@ FEEDS = {
 
 def item_id(feed: Feed, raw: Column) -> Column:
     """The item's own id, else a reproducible hash of its text."""
-    return F.coalesce(first_path(raw, *feed.id_fields), F.xxhash64(raw).cast("string"))
+    return F.coalesce(first_path(raw, *feed.id_fields), F.sha2(raw, 256))

@@ -90,59 +90,27 @@ def start_upsert(
     )
 
 
-def deduplicated(stream: DataFrame, ids: Sequence[str], on: str, lateness: str = "1 day") -> DataFrame:
-    """First copy of each id; copies may arrive up to ``lateness`` behind the newest event."""
-    return stream.withWatermark(on, lateness).dropDuplicatesWithinWatermark(list(ids))
-
-
-def start_append(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append to a Parquet table exactly once per row, then stop."""
-    return (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
-def daily_totals(
-    stream: DataFrame, on: str, amount: str, by: Sequence[str], lateness: str | None = "1 day"
-) -> DataFrame:
-    """Running count and sum per day and ``by`` columns.
+def start_distinct(
+    stream: DataFrame, path: str, checkpoint: str, ids: Sequence[str], order: Sequence[str]
+) -> StreamingQuery:
+    """Store each micro-batch with the first version of every id in it, then stop.
 
-    Pass ``lateness=None`` when the stream already has a watermark (after ``deduplicated``).
+    No row is too late: an item never seen before counts however old it is.  So no
+    watermark is used and no state is kept; ``distinct_items`` settles copies across
+    batches on read.
     """
-    marked = stream.withWatermark(on, lateness) if lateness else stream
-    return (
-        marked.groupBy(F.window(on, "1 day").alias("w"), *by)
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(amount).alias("total"))
-        .select(F.col("w.start").cast("date").alias("day"), *by, "n", "total")
-    )
+    columns = [c for c in stream.columns if c not in ids]
+    return start_upsert(stream, path, checkpoint, ids, columns, [], order)
 
 
-def start_daily_totals(totals: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Store the changed totals of every micro-batch (open days included), then stop."""
+def distinct_items(spark: SparkSession, path: str, ids: Sequence[str]) -> DataFrame:
+    """The first version of every id over all stored batches."""
+    stored = spark.read.parquet(path)
+    columns = [c for c in stored.columns if c not in {*ids, "_first_at", "_last_at", "batch"}]
+    return upserted(spark, path, ids, columns, [])
 
-    def write(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    return (
-        totals.writeStream.outputMode("update")
-        .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
-def current_totals(spark: SparkSession, path: str, by: Sequence[str]) -> DataFrame:
-    """Per day and ``by`` columns the totals of the last batch that changed them."""
-    keys = ["day", *by]
-    return (
-        spark.read.parquet(path)
-        .groupBy(*keys)
-        .agg(F.max_by(F.struct("n", "total"), "batch").alias("_t"))
-        .select(*keys, "_t.*")
-    )
+def daily_totals(items: DataFrame, on: str, amount: str, by: Sequence[str]) -> DataFrame:
+    """Count and sum per day and ``by`` columns of distinct items; items without a date have a null day."""
+    day = F.col(on).cast("date").alias("day")
+    return items.groupBy(day, *by).agg(F.count(F.lit(1)).alias("n"), F.sum(amount).alias("total"))

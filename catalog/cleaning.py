@@ -162,12 +162,19 @@ def surrogate_key(t: Tables):
     )
 
 
+def _part(c: str) -> str:
+    return f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+
+
+HASHED = ("o_orderkey", "o_custkey", "o_orderstatus", "CAST(o_totalprice AS DECIMAL(18,2))", "CAST(o_orderdate AS DATE)")
+
+
 @query(
     "content_hash",
-    None,
+    f"SELECT o_orderkey, sha256({' || '.join(_part(c) for c in HASHED)}) AS content_id FROM orders",
 )
 def content_hash(t: Tables):
-    return t.orders.select("o_orderkey", js.content_id(F.struct("*")).alias("content_id"))
+    return t.orders.select("o_orderkey", js.content_id(*[F.expr(c) for c in HASHED]).alias("content_id"))
 
 
 @query(

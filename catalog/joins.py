@@ -90,7 +90,9 @@ def join_broadcast_lookup(t: Tables):
 def join_trunc_month(t: Tables):
     from arrearium.functions.dates import calendar
 
-    per_month = t.fx_payments.groupBy(F.trunc("payment_date", "MM").alias("month_start"), "status").agg(
+    # The calendar's bounds on the raw date reach the scan.
+    inside = F.col("payment_date").between(F.lit(FIRST_MONTH), F.last_day(F.lit(LAST_MONTH)))
+    per_month = t.fx_payments.where(inside).groupBy(F.trunc("payment_date", "MM").alias("month_start"), "status").agg(
         F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount")
     )
     spine = calendar(t.spark, FIRST_MONTH, LAST_MONTH).select("month_start")

@@ -21,11 +21,14 @@ def _as_files(t: Tables, df, name: str):
 
 
 def _pulls(t: Tables, df, on: str, name: str, cuts: list[str]):
-    """Land the rows pull by pull, each starting one day before its cut (the overlap of
-    an incremental pull), and hand out the folder's stream after every landing."""
+    """Land the rows pull by pull, newest days first, and hand out the folder's stream after every landing.
+
+    Each pull starts one day before its cut (the overlap of an incremental pull), and
+    most rows come many days behind the newest one seen.
+    """
     path = scratch_path(t.spark, name)
     bounds = [None, *cuts, None]
-    for low, high in zip(bounds[:-1], bounds[1:], strict=True):
+    for low, high in reversed(list(zip(bounds[:-1], bounds[1:], strict=True))):
         part = df
         if low:
             part = part.filter(F.col(on) >= F.lit(low).cast("timestamp") - F.expr("INTERVAL 1 DAY"))
@@ -38,6 +41,13 @@ def _pulls(t: Tables, df, on: str, name: str, cuts: list[str]):
 CUTS = ["2024-01-11", "2024-01-21"]
 
 
+def _distinct(t: Tables, events):
+    out, checkpoint = scratch_path(t.spark, "distinct"), scratch_path(t.spark, "checkpoint")
+    for stream in _pulls(t, events, "ts", "events", CUTS):
+        jobs.start_distinct(stream, out, checkpoint, ["event_id"], ["ts"]).awaitTermination()
+    return jobs.distinct_items(t.spark, out, ["event_id"])
+
+
 @query("stream_upsert", STICKY_SQL.replace("loaded_at", "first_seen").replace("updated_at", "last_seen"))
 def stream_upsert(t: Tables):
     versions = t.versions.withColumn("first_seen", F.col("seen_on").cast("timestamp")).withColumn(
@@ -57,12 +67,7 @@ def stream_upsert(t: Tables):
     f"""SELECT event_id, {ts('ts')} AS ts, asset_id, event_type, {dbl('amount')} AS amount FROM fx_events""",
 )
 def stream_dedup(t: Tables):
-    events = t.fx_events.select("event_id", "ts", "asset_id", "event_type", "amount")
-    out, checkpoint = scratch_path(t.spark, "deduplicated"), scratch_path(t.spark, "checkpoint")
-    for stream in _pulls(t, events, "ts", "events", CUTS):
-        unique = jobs.deduplicated(stream, ["event_id"], "ts")
-        jobs.start_append(unique, out, checkpoint).awaitTermination()
-    return present(t.spark.read.parquet(out))
+    return present(_distinct(t, t.fx_events.select("event_id", "ts", "asset_id", "event_type", "amount")))
 
 
 @query(
@@ -70,10 +75,5 @@ def stream_dedup(t: Tables):
     f"""SELECT {txt('ts')} AS day, event_type, count(*) AS n, {dbl('sum(amount)')} AS total FROM fx_events GROUP BY 1, 2""",
 )
 def stream_daily_totals(t: Tables):
-    events = t.fx_events.select("event_id", "ts", "event_type", "amount")
-    out, checkpoint = scratch_path(t.spark, "totals"), scratch_path(t.spark, "checkpoint")
-    for stream in _pulls(t, events, "ts", "events", CUTS):
-        unique = jobs.deduplicated(stream, ["event_id"], "ts")
-        totals = jobs.daily_totals(unique, "ts", "amount", ["event_type"], lateness=None)
-        jobs.start_daily_totals(totals, out, checkpoint).awaitTermination()
-    return present(jobs.current_totals(t.spark, out, ["event_type"]))
+    items = _distinct(t, t.fx_events.select("event_id", "ts", "event_type", "amount"))
+    return present(jobs.daily_totals(items, "ts", "amount", ["event_type"]))

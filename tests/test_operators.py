@@ -241,3 +241,12 @@ def test_union_versions(spark):
     a = spark.createDataFrame([(1,)], "x int")
     b = spark.createDataFrame([(2, "n")], "x int, y string")
     assert rows(slices.union_versions(a, b)) == [(1, None), (2, "n")]
+
+
+def test_null_dates_come_last_and_count_in_no_month(spark):
+    data = [("k", "a", None, 100), ("k", "b", date(2024, 1, 5), 1), ("k", "c", date(2024, 1, 5), 2), ("n", "d", None, 3)]
+    df = spark.createDataFrame(data, "key string, id string, d date, amount int")
+    firsts = {r.id for r in windows.mark_first(df, "key", "id", ["d"], "first").filter("first").collect()}
+    assert firsts == {"b", "d"}
+    totals = windows.monthly_running_total(df, "key", "d", "amount", "total").collect()
+    assert [(r.key, r.month_start, r.total) for r in totals] == [("k", date(2024, 1, 1), 3)]

@@ -34,5 +34,5 @@ def test_plan(no_broadcast, name):
 
 def test_queries_and_oracles_cover_each_other():
     without = set(all_queries.QUERIES) - set(all_queries.ORACLES)
-    assert without == {"content_hash"}
+    assert without == set()
     assert not set(all_queries.ORACLES) - set(all_queries.QUERIES)

@@ -1,7 +1,5 @@
 from datetime import date, datetime
 
-from pyspark.sql import functions as F
-
 from arrearium.operators import fold
 from arrearium.session import scratch_path
 from arrearium.streaming import jobs
@@ -42,21 +40,19 @@ def test_a_retried_batch_replaces_itself(spark):
     assert spark.read.parquet(out).count() == 1
 
 
-def test_dedup_within_a_day_and_daily_totals(spark):
+def test_items_never_seen_before_count_however_late(spark):
     schema = "id int, ts timestamp, amount int"
-    first = [(i, datetime(2024, 1, 1 + i // 10, 12), 1) for i in range(30)]
-    src = scratch_path(spark, "src")
-    out, ckpt, totals, ckpt2 = (scratch_path(spark, n) for n in "abcd")
-    for batch in (first, first[-10:] + [(99, datetime(2024, 1, 4, 1), 5)]):
+    late = [(i, datetime(2024, 1, 1 + i // 10, 12), 1) for i in range(30)]
+    again = [(i, datetime(2024, 2, 1), 7) for i in range(5)]  # later copies of old items
+    src, out, ckpt = (scratch_path(spark, n) for n in "abc")
+    for batch in ([(99, datetime(2024, 1, 20, 1), 5), (98, None, 2)], late[20:], late[:20] + again):
         spark.createDataFrame(batch, schema).write.mode("append").parquet(src)
         events = spark.readStream.schema(schema).parquet(src)
-        unique = jobs.deduplicated(events, ["id"], "ts")
-        jobs.start_append(unique, out, ckpt).awaitTermination()
-        jobs.start_daily_totals(
-            jobs.daily_totals(jobs.deduplicated(events, ["id"], "ts"), "ts", "amount", [], lateness=None), totals, ckpt2
-        ).awaitTermination()
-    assert spark.read.parquet(out).count() == 31
-    assert rows(jobs.current_totals(spark, totals, [])) == [
-        (date(2024, 1, 1), 10, 10), (date(2024, 1, 2), 10, 10), (date(2024, 1, 3), 10, 10), (date(2024, 1, 4), 1, 5)
-    ]
-    assert spark.read.parquet(out).filter(F.col("id") == 99).count() == 1
+        jobs.start_distinct(events, out, ckpt, ["id"], ["ts"]).awaitTermination()
+    items = jobs.distinct_items(spark, out, ["id"])
+    assert items.columns == ["id", "ts", "amount"]
+    assert rows(jobs.daily_totals(items, "ts", "amount", [])) == sorted(
+        [(date(2024, 1, 1), 10, 10), (date(2024, 1, 2), 10, 10), (date(2024, 1, 3), 10, 10), (date(2024, 1, 20), 1, 5)]
+        + [(None, 1, 2)],
+        key=lambda r: tuple((v is None, str(v)) for v in r),
+    )
