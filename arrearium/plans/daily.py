@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime
 from time import monotonic
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from arrearium.operators.fold import upsert_touched
+from arrearium.operators.fold import fold_versions, upsert_touched
 from arrearium.operators.slices import replace_slice
 from arrearium.plans.contracts import b_financials, unified_contracts
 from arrearium.plans.snapshots import daily_snapshot
 from arrearium.rules import PortfolioRules
+from arrearium.session import scratch_path
 from arrearium.sources import bronze
 from arrearium.sources.ingest import append_ledger, ledger_row
 from arrearium.sources.specs import A_ASSETS, A_CONTRACTS, A_PAYMENTS, EntitySpec
@@ -28,22 +31,29 @@ def refresh_silver(
     """Write a new version of a silver table and return it.
 
     With a previous version only the items of ``ingest_date`` are read, and only the
-    keys they touch are folded.  Without one, all landed pages are replayed.
+    keys they touch are folded.  Without one, all landed pages are replayed.  A run that
+    is repeated replaces what the last attempt wrote.  ``loaded_at`` and ``updated_at``
+    are the ingest dates of a key's first and last version.
     """
+    if out_path == previous_path:
+        raise ValueError("a new version needs a path of its own")
+    read = bronze.read_items if spec.raw_schema is not None else bronze.read_csv_export
+    rows = spec.rows(read(spark, bronze_path, ingest_date=ingest_date if previous_path else None))
+    times = F.col("ingest_date").cast("timestamp")
+    rows = spec.batch_rows(rows).withColumns({"loaded_at": times, "updated_at": times})
+    changing = [c for c in spec.changing(rows) if c not in ("loaded_at", "updated_at")] + ["updated_at"]
+    order = [c for c in bronze.ITEM_ORDER if c in rows.columns]
     if previous_path is None:
-        table = spec.current(spec.rows(bronze.read_items(spark, bronze_path)))
+        table = fold_versions(rows, spec.keys, changing, order)
     else:
         # Stored once: the batch is read twice below, and its file size tells the
         # planner whether its keys can be broadcast.
-        staged = f"{out_path}-batch"
-        items = bronze.read_items(spark, bronze_path, ingest_date=ingest_date)
-        spec.batch_rows(spec.rows(items)).write.parquet(staged)
-        rows = spark.read.parquet(staged)
-        order = [c for c in bronze.ITEM_ORDER if c in rows.columns]
+        staged = scratch_path(spark, "batch")
+        rows.write.parquet(staged)
         table = upsert_touched(
-            spark.read.parquet(previous_path), rows, spec.keys, spec.changing(rows), order
+            spark.read.parquet(previous_path), spark.read.parquet(staged), spec.keys, changing, order
         )
-    table.write.mode("errorifexists").parquet(out_path)
+    table.write.mode("overwrite").parquet(out_path)
     return spark.read.parquet(out_path)
 
 
@@ -65,39 +75,63 @@ def run_daily(
     previous_silver_root: str | None = None,
     entities: tuple[EntitySpec, ...] = (A_CONTRACTS, A_PAYMENTS, A_ASSETS),
 ) -> DataFrame:
-    """One day, in order; the first failure ends the run.  Returns the day's snapshot."""
-    started = monotonic()
+    """One day, in order; the first failure ends the run.  Returns the day's snapshot.
+
+    Each entity and the snapshot get a row in the ledger, also the one that fails, so an
+    entity's watermark moves with its own success only.  A day can be run again.
+    """
     day = as_of.isoformat()
-    silver = {
-        spec.name: refresh_silver(
+    run_at = datetime(as_of.year, as_of.month, as_of.day)
+
+    def step(source: str, entity: str, path: str, work: Callable[[], int]) -> None:
+        started = monotonic()
+
+        def log(status: str, rows: int = 0, error: str | None = None) -> None:
+            row = ledger_row(
+                spark, f"{entity}-{day}", source, entity, run_at, status, rows_count=rows, landed_path=path,
+                error_message=error, duration_sec=monotonic() - started,
+            )
+            append_ledger(row, ledger_path)
+
+        try:
+            rows = work()
+        except Exception as e:
+            log("error", error=str(e)[:1000])
+            raise
+        log("success", rows)
+
+    silver: dict[str, DataFrame] = {}
+
+    def refresh(spec: EntitySpec) -> int:
+        source, name = spec.name.split("_", 1)
+        silver[spec.name] = refresh_silver(
             spark,
             spec,
-            bronze.entity_path(bronze_root, "a", spec.name.removeprefix("a_")),
+            bronze.entity_path(bronze_root, source, name),
             f"{silver_root}/{spec.name}",
             f"{previous_silver_root}/{spec.name}" if previous_silver_root else None,
             day,
         )
-        for spec in entities
-    }
-    contracts = unified_contracts(
-        silver["a_contracts"],
-        silver["a_assets"],
-        b_contracts,
-        b_financials(b_payments, asset_map, lease_ledger),
-        products,
-        excluded,
-        paid_off,
-        rules,
-        as_of,
-    )
-    rows = replace_slice(daily_snapshot(contracts, as_of), snapshot_path, "snapshot_date", day)
-    run_at = datetime(as_of.year, as_of.month, as_of.day)
-    append_ledger(
-        ledger_row(
-            spark, f"snapshot-{day}", "gold", "unified_snapshot", run_at, "success",
-            rows_count=rows, landed_path=snapshot_path, duration_sec=monotonic() - started,
-        ),
-        ledger_path,
-    )
+        return silver[spec.name].count()
+
+    def snapshot() -> int:
+        # Stored once for the snapshot and for whoever reports on the day.
+        unified_contracts(
+            silver["a_contracts"],
+            silver["a_assets"],
+            b_contracts,
+            b_financials(b_payments, asset_map, lease_ledger),
+            products,
+            excluded,
+            paid_off,
+            rules,
+            as_of,
+        ).write.mode("overwrite").parquet(f"{silver_root}/unified_contracts")
+        contracts = spark.read.parquet(f"{silver_root}/unified_contracts")
+        return replace_slice(daily_snapshot(contracts, as_of), snapshot_path, "snapshot_date", day)
+
+    for spec in entities:
+        step(spec.name.split("_", 1)[0], spec.name, f"{silver_root}/{spec.name}", lambda spec=spec: refresh(spec))
+    step("gold", "unified_snapshot", snapshot_path, snapshot)
     snapshots = spark.read.parquet(snapshot_path)
     return snapshots.filter(snapshots["snapshot_date"] == as_of)

@@ -32,7 +32,7 @@ RULES = PortfolioRules(
 )
 FIRST_MONTH, LAST_MONTH = date(2001, 1, 1), date(2001, 6, 30)
 COLLECTION_LAST = date(2001, 8, 31)
-HISTORY_FIRST, HISTORY_LAST = date(2001, 3, 1), date(2001, 5, 31)
+HISTORY_FIRST, HISTORY_LAST = date(2001, 8, 1), date(2002, 2, 28)
 
 _MONEY = "CAST({} AS DECIMAL(18,2))"
 _ID = (

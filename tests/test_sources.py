@@ -312,3 +312,26 @@ def test_csv_landings_with_other_headers_and_quoted_cells(spark, tmp_path):
     two.drop("ingest_date", "More").write.mode("append").option("header", True).csv(mixed)
     with pytest.raises(Exception, match="(?i)header|csv"):
         bronze.read_csv_strings(spark, mixed, ["ID"]).collect()
+
+
+def test_a_failing_day_is_logged_and_moves_no_watermark(spark):
+    from arrearium import PortfolioRules
+    from arrearium.plans import daily
+
+    root = scratch_path(spark, "failing")
+    good = spark.createDataFrame([("2025-01-01", "p1", "STOCK")], "ingest_date string, paygNumber string, status string")
+    bronze.land_items(good, f"{root}/bronze/a/assets")
+    none = spark.range(0)
+    for _ in range(2):  # a day that failed can be run again
+        with pytest.raises(Exception, match="payments"):
+            daily.run_daily(
+                spark, f"{root}/bronze", f"{root}/silver", f"{root}/snapshots", f"{root}/ledger", none, none, none, none,
+                none, none, none, date(2025, 1, 1), PortfolioRules(), entities=(A_ASSETS, A_PAYMENTS),
+            )
+    log = spark.read.parquet(f"{root}/ledger")
+    assert sorted((r.entity, r.status, r.rows_count) for r in log.collect()) == [
+        ("a_assets", "success", 1), ("a_assets", "success", 1), ("a_payments", "error", 0), ("a_payments", "error", 0)
+    ]
+    assert [r.entity for r in ingest.watermarks(log).collect()] == ["a_assets"]
+    silver = spark.read.parquet(f"{root}/silver/a_assets").first()
+    assert silver.loaded_at == silver.updated_at == datetime(2025, 1, 1)
