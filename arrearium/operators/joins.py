@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from arrearium.session import scratch_path
+
 
 def mark(df: DataFrame, members: DataFrame, key: str, member_key: str, name: str) -> DataFrame:
     """Add a boolean column: is ``key`` in the member list?  Null keys are not."""
@@ -72,9 +74,14 @@ def spread_join(
     Rows of a hot key are dealt to parts by a hash of ``row_id`` and the dimension rows
     of that key are copied to every part.  Other keys join as usual.  The list of hot
     keys has fewer than ``HOT_SHARE`` rows by definition, so broadcasting it is safe.
-    ``counts`` (``fact_key``, ``n``) saves the counting pass when it is already known.
+    ``counts`` (``fact_key``, ``n``), stored by the caller, saves the counting pass; else
+    the counts are stored here, since three steps read them.
     """
-    n = counts if counts is not None else facts.groupBy(fact_key).agg(F.count(F.lit(1)).alias("n"))
+    n = counts
+    if n is None:
+        path = scratch_path(facts.sparkSession, "counts")
+        facts.groupBy(fact_key).agg(F.count(F.lit(1)).alias("n")).write.parquet(path)
+        n = facts.sparkSession.read.parquet(path)
     total = n.agg(F.sum("n")).scalar()
     hot = F.broadcast(
         n.filter(F.col("n") * HOT_SHARE > total).select(F.col(fact_key).alias("_hot"))

@@ -10,6 +10,7 @@ from arrearium.functions.amounts import sum_if
 from arrearium.functions.dates import month_start
 from arrearium.operators.joins import not_in, spread_join
 from arrearium.rules import PortfolioRules
+from arrearium.session import scratch_path
 
 
 def a_class(code: Column) -> Column:
@@ -76,10 +77,14 @@ def with_first_payment(payments: DataFrame, accounts: DataFrame) -> DataFrame:
     """Payments with their installation and ``is_first``: the installation's earliest one.
 
     The earliest payment is found per account, then per installation, as aggregates; its
-    id travels with the account, so the payments themselves are shuffled once.
+    id travels with the account, so the payments themselves are shuffled once.  The
+    accounts' figures, a row each, are stored first: three later steps read them, and
+    the payments are scanned twice in all.
     """
     at = F.struct(F.col("paid_time").isNull().alias("undated"), "paid_time", "transaction_id")
-    per_account = payments.groupBy("account").agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("_at"))
+    path = scratch_path(payments.sparkSession, "accounts")
+    payments.groupBy("account").agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("_at")).write.parquet(path)
+    per_account = payments.sparkSession.read.parquet(path)
     firsts = (
         accounts.join(per_account, F.col("asset_number") == F.col("account"), "inner")
         .groupBy("installation_id")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from arrearium.functions.dates import calendar
@@ -372,14 +374,15 @@ ORACLE_VIEWS["o_paid_free"] = """
      sum(CASE WHEN g.deal_type <> 'FULL' AND payment_class = 'recharge' THEN amount ELSE 0 END) AS paid_recharge,
      sum(CASE WHEN g.deal_type = 'FULL' THEN amount ELSE 0 END) AS paid_full
     FROM o_classified p JOIN g1 g USING (contract_number) WHERE g.categorie IN ('a_main', 'b_recent') GROUP BY 1"""
-ORACLE_VIEWS["o_due_free"] = f"""
+def _due_free(free_days: int) -> str:
+    return f"""
     SELECT ms, sum(CASE WHEN deal_type = 'FULL' AND date_trunc('month', registration_date) = ms THEN value ELSE 0 END)
       AS expected_full,
      sum(CASE WHEN deal_type <> 'FULL' AND date_trunc('month', registration_date) = ms THEN up ELSE 0 END)
       AS expected_upfront,
-     sum(CASE WHEN deal_type <> 'FULL' AND registration_date + 30 >= me THEN 0
+     sum(CASE WHEN deal_type <> 'FULL' AND registration_date + {free_days} >= me THEN 0
               WHEN paid_off = 'true' AND paid_date < ms THEN 0
-              ELSE greatest(0, date_diff('day', greatest(ms, registration_date + 30), me) + 1)
+              ELSE greatest(0, date_diff('day', greatest(ms, registration_date + {free_days}), me) + 1)
                    * CAST(mo AS DECIMAL(38,10)) END) / 30.0 AS expected_recharge
     FROM (
       SELECT m.ms, m.me, s.deal_type, s.paid_off, coalesce(s.total_contract_value, 0) AS value,
@@ -393,6 +396,10 @@ ORACLE_VIEWS["o_due_free"] = f"""
     WHERE pos = 1 AND cld <= 60 AND registration_date <= me GROUP BY ms"""
 
 
+ORACLE_VIEWS["o_due_free"] = _due_free(30)
+ORACLE_VIEWS["o_due_free_60"] = _due_free(60)
+
+
 @query(
     "collection_rate_freeperiod",
     _rate_sql(
@@ -409,6 +416,23 @@ def collection_rate_freeperiod(t: Tables):
     )
 
 
+@query(
+    "collection_rate_free_60",
+    _rate_sql(
+        ["paid_upfront", "paid_recharge", "paid_full"],
+        ["expected_upfront", "expected_recharge", "expected_full"], "o_paid_free", "o_due_free_60",
+    ),
+)
+def collection_rate_free_60(t: Tables):
+    """Another free period: an instalment still stands for 30 days."""
+    return present(
+        collection.collection_rate_free_period(
+            t.spark, t.a_payments, t.b_payments, t.fx_asset_map, t.b_contracts, t.fx_exclusions,
+            t.snapshots, contracts(t), COLLECTION_LAST, replace(RULES, free_days=60),
+        )
+    )
+
+
 # ---- month-end tables and report --------------------------------------------------
 
 
@@ -442,13 +466,13 @@ MONTH_B_STATUS = """CASE WHEN c.removed_at <= s.me OR c.status = 'Disabled' THEN
       WHEN c.status IN ('Active', 'Awaiting Removal') THEN 'ENABLED' ELSE s.contract_status END"""
 
 
-@query(
-    "month_snapshot_a",
-    f"""SELECT {month_table('s.consecutive_locked_days', MONTH_A_STATUS, 'p.total')}
+MONTH_A_SQL = f"""SELECT {month_table('s.consecutive_locked_days', MONTH_A_STATUS, 'p.total')}
     FROM o_end_a s JOIN a_contracts c ON c.contract_number = s.contract_number
     LEFT JOIN (SELECT contract_number, sum(amount) AS total FROM a_payments WHERE {A_OK} GROUP BY 1) p
-      ON p.contract_number = s.contract_number""",
-)
+      ON p.contract_number = s.contract_number"""
+
+
+@query("month_snapshot_a", MONTH_A_SQL)
 def month_snapshot_a(t: Tables):
     return present(
         sn.month_snapshot_a(
@@ -468,15 +492,15 @@ ORACLE_VIEWS["o_unlocked"] = f"""
      FROM {REPORT} m JOIN unlock_history h ON h.transaction_date <= m.me AND h.source = 'B') WHERE pos = 1"""
 
 
-@query(
-    "month_snapshot_b",
-    f"""SELECT {month_table(
+MONTH_B_SQL = f"""SELECT {month_table(
         "CAST(greatest(0, date_diff('day', coalesce(h.unlocked_until, c.unlocked_until), s.me)) AS INT)",
         MONTH_B_STATUS, 'r.total')}
     FROM o_end_b s JOIN b_contracts c ON c.installation_id = s.contract_number
     LEFT JOIN o_unlocked h ON h.contract_number = s.contract_number AND h.me = s.me
-    LEFT JOIN o_running r ON r.contract_number = s.contract_number AND r.ms = s.ms""",
-)
+    LEFT JOIN o_running r ON r.contract_number = s.contract_number AND r.ms = s.ms"""
+
+
+@query("month_snapshot_b", MONTH_B_SQL)
 def month_snapshot_b(t: Tables):
     return present(
         sn.month_snapshot_b(
@@ -486,6 +510,22 @@ def month_snapshot_b(t: Tables):
     )
 
 
+@query(
+    "month_table_reload",
+    f"{MONTH_A_SQL} UNION ALL {MONTH_B_SQL}",
+)
+def month_table_reload(t: Tables):
+    """Both sides in one write, twice: the second load replaces the first."""
+    path = scratch_path(t.spark, "months")
+    a = sn.month_snapshot_a(t.snapshots, t.deploy_reference, t.a_contracts, t.a_payments, FIRST_MONTH, LAST_MONTH, RULES)
+    b = sn.month_snapshot_b(
+        t.snapshots, t.b_contracts, t.unlock_history, t.b_payments, t.fx_asset_map, FIRST_MONTH, LAST_MONTH, RULES
+    )
+    for _ in range(2):
+        sn.reload_months(a, b, path)
+    return present(t.spark.read.parquet(path))
+
+
 LIVE = "bucket NOT IN ('repossessed', 'paidoff', 'hors_portefeuille')"
 BUCKETS = {
     "pas_retard": "a. pas_de_retard", "1_30j": "b. 1_30j", "31_60j": "c. 31_60j", "61_90j": "d. 61_90j",
