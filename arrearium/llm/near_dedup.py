@@ -8,8 +8,10 @@ Points come in order of time, and a process ends when it is later than every reg
 
 Signatures are cut into bands; documents that share a band are candidates; candidates are verified on the exact
 multiset overlap; linked documents form classes.  Large bands are not expanded into pairs: all members are
-held against one first, and what then is in one class needs no more pairs; the others are held against all members
-of other classes, some pivots a round, until every pair of a band is verified or lies in one class.
+held against a few leaders, and what then is in one class needs no more pairs.  For
+bands that still hold several classes, a pair of different classes is verified if the two share one of their rarest
+shingles: at the similarity asked for, two documents always share one of the rarest 20 % of either, so this loses no
+link, and texts that differ much from all others have no such shingle.
 
 Defined results: equal texts are one class, texts without words too if they are equal; a null text is a class of its
 own; a text of one to four words has one shingle; a null id counts as larger than all and comes back as null; rows
@@ -24,7 +26,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from arrearium.llm.common import as_id, chunks, id_or_last, mix, shingles_of, stored, texts_of, words_of
 from arrearium.llm.components import components
@@ -32,8 +33,8 @@ from arrearium.llm.components import components
 SHINGLE, SIMILARITY = 5, 0.8
 #: 24 bands of 4 registers: a pair at similarity 0.8 shares none with probability 3e-6.
 BANDS, ROWS = 24, 4
-#: Members of a band that are held against all others in the first round after the stars; four times more in each next.
-PIVOTS = 64
+#: Leaders that all members of a band are held against.
+LEADERS = 2
 
 _U = np.uint64
 
@@ -155,6 +156,26 @@ def _verified(similarity: float, size: int):
     return run
 
 
+def _elements(size: int):
+    """Batches of (node, text) to (node, elements): each shingle as often as it occurs, the times told apart."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = texts_of(batch.column(1))
+            lists = []
+            for i, j in chunks(offsets):
+                words = words_of(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                s, t, c = weighted(*shingles_of(words, size)[:2])
+                time = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
+                element = mix(np.repeat(s, c) + time.astype(np.uint64) * _U(0x9E3779B97F4A7C15)).view(np.int64)
+                ends = np.concatenate(([0], np.cumsum(np.bincount(np.repeat(t, c), minlength=j - i))))
+                lists.append(pa.LargeListArray.from_arrays(pa.array(ends), pa.array(element)))
+            found = pa.concat_arrays(lists) if lists else pa.array([], pa.large_list(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), found.cast(pa.list_(pa.int64()))], ["node", "elements"])
+
+    return run
+
+
 def node_of(text: Column) -> Column:
     """128 bits that stand for a text; null for a null text."""
     return F.unhex(F.md5(text.cast("binary")))
@@ -162,7 +183,7 @@ def node_of(text: Column) -> Column:
 
 def classes(
     docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, bands: int = BANDS,
-    rows: int = ROWS, size: int = SHINGLE, pivots: int = PIVOTS,
+    rows: int = ROWS, size: int = SHINGLE, leaders: int = LEADERS,
 ) -> tuple[DataFrame, DataFrame]:
     """Two stored tables: (id, node, n) of all rows, and (node, first_id, label, class_id, keep) of all texts.
 
@@ -179,12 +200,11 @@ def classes(
 
     keys = F.array(*[F.xxhash64(F.lit(b), F.substring("sig", 2 * rows * b + 1, 2 * rows)) for b in range(bands)])
     all_members = nodes.where("sig is not null").select(F.explode(keys).alias("key"), "node", "n")
-    shared = all_members.groupBy(F.col("key").alias("of")).agg(
-        F.min(F.struct("node", "n")).alias("first"), F.max("node").alias("last")
-    )
-    shared = shared.where("first.node <> last").select("of", "first")
+    leader = [F.min(F.struct(F.xxhash64(F.lit(i), "node").alias("h"), "node", "n")).alias(f"l{i}") for i in range(leaders)]
+    shared = all_members.groupBy(F.col("key").alias("of")).agg(F.min("node").alias("low"), F.max("node").alias("high"), *leader)
+    shared = shared.where("low <> high").select("of", F.array(*[f"l{i}" for i in range(leaders)]).alias("leaders"))
     members = stored(
-        all_members.join(shared, all_members["key"] == shared["of"]).select("key", "node", "n", "first"), "members"
+        all_members.join(shared, all_members["key"] == shared["of"]).select("key", "node", "n", "leaders"), "members"
     )
 
     wanted = members.select("node").distinct()
@@ -203,39 +223,19 @@ def classes(
     def near(n: Column, m: Column) -> Column:
         return F.least(n, m) >= F.greatest(n, m) * similarity - 1e-9
 
-    star = members.where((F.col("node") != F.col("first.node")) & near(F.col("n"), F.col("first.n")))
-    tested = stored(star.select(F.col("first.node").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
+    def in_order(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.least("node", "node_o").alias("a"), F.greatest("node", "node_o").alias("b")).distinct()
+
+    led = members.select("node", "n", F.inline("leaders").alias("h", "node_o", "n_o"))
+    tested = stored(in_order(led.where((F.col("node") != F.col("node_o")) & near(F.col("n"), F.col("n_o")))), "pairs")
     links = verify(tested)
     labels = components(links)
-    used = None
-    while True:
-        placed = members.join(labels, "node", "left").select("key", "node", "n", F.coalesce("label", "node").alias("label"))
-        cells = placed.groupBy("key", "label").agg(F.count("*").alias("c"))
-        split = cells.groupBy("key").agg(F.max(F.struct("c", "label")).alias("main"), F.count("*").alias("k")).where("k > 1")
-        open_ = placed.join(split.select("key", F.col("main.label").alias("main")), "key")
-        lone = open_.where("label <> main")
-        if used is not None:
-            lone = lone.join(used, ["key", "node"], "left_anti")
-        turn = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-        chosen = stored(lone.withColumn("turn", turn).where(F.col("turn") <= pivots).drop("turn", "main"), "pivots")
-        if chosen.isEmpty():
-            break
-        other = chosen.select("key", *[F.col(c).alias(f"{c}_p") for c in ("node", "n", "label")])
-        pairs = (
-            open_.join(other, "key")
-            .where((F.col("label") != F.col("label_p")) & near(F.col("n"), F.col("n_p")))
-            .select(F.least("node", "node_p").alias("a"), F.greatest("node", "node_p").alias("b"))
-            .distinct()
-            .join(tested, ["a", "b"], "left_anti")
-        )
-        pairs = stored(pairs, "pairs")
-        if not pairs.isEmpty():
-            tested = tested.unionByName(pairs)
-            links = links.unionByName(verify(pairs))
-            labels = components(links)
-        chosen = chosen.select("key", "node")
-        used = chosen if used is None else used.unionByName(chosen)
-        pivots *= 4
+    placed = members.join(labels, "node", "left").select("key", "node", "n", F.coalesce("label", "node").alias("label"))
+    open_ = stored(_several(placed, "key").select("node", "n", "label").distinct(), "open")
+    if not open_.isEmpty():
+        pairs = in_order(_prefix_pairs(open_, texts, near, similarity, size))
+        links = links.unionByName(verify(stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")))
+        labels = components(links)
 
     placed = nodes.select("node", "first_id").join(labels, "node", "left")
     placed = placed.select("node", "first_id", F.coalesce("label", "node").alias("label"))
@@ -246,6 +246,44 @@ def classes(
     return sketches.select("id", "node", "n"), stored(table, "classes")
 
 
+def _several(rows: DataFrame, key: str) -> DataFrame:
+    """The rows of keys that hold more than one class."""
+    spread = rows.groupBy(F.col(key).alias("of")).agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    spread = spread.where("low <> high").select("of")
+    return rows.join(spread, rows[key] == spread["of"], "left_semi")
+
+
+def _prefix_pairs(open_: DataFrame, texts: DataFrame, near, similarity: float, size: int) -> DataFrame:
+    """Pairs of nodes of different classes that share one of their rarest elements (prefix filter).
+
+    Two multisets of n and m elements with Jaccard similarity t share at least t * max(n, m); so among the
+    n - ceil(t * n) + 1 first elements of either, in any order common to all, there is a shared one.  The order
+    is by frequency among the open nodes; elements that no other has come first and are left out.  A pair is
+    made at its first shared element only.
+    """
+    lists = texts.join(open_.select("node"), "node", "left_semi").mapInArrow(
+        _elements(size), "node binary, elements array<long>"
+    )
+    elements = stored(lists.select("node", F.explode("elements").alias("e")), "elements")
+    often = elements.groupBy(F.col("e").alias("of")).agg(F.count("*").alias("c")).where("c > 1")
+    known = elements.join(often, elements["e"] == often["of"])
+    ordered = known.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("c", "e"))).alias("all"))
+    first = F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1
+    length = F.greatest(F.lit(0), first - (F.col("n") - F.size("all"))).cast("int")
+    prefixes = ordered.join(open_, "node").select(
+        "node", "n", "label", F.transform(F.slice("all", 1, length), lambda x: x["e"]).alias("prefix")
+    )
+    rows = stored(_several(prefixes.withColumn("e", F.explode("prefix")), "e"), "prefixes")
+    # Pairs have a member outside the element's largest class, so that class is never paired with itself.
+    cells = rows.groupBy("e", "label").agg(F.count("*").alias("c"))
+    main = cells.groupBy(F.col("e").alias("of")).agg(F.max(F.struct("c", "label"))["label"].alias("main"))
+    lone = rows.join(main, rows["e"] == main["of"]).where("label <> main")
+    lone = lone.select("e", *[F.col(c).alias(f"{c}_o") for c in ("node", "n", "label", "prefix")])
+    at_first = F.get(F.array_intersect("prefix", "prefix_o"), F.lit(0)) == F.col("e")
+    apart = (F.col("label") != F.col("label_o")) & near(F.col("n"), F.col("n_o"))
+    return rows.join(lone, "e").where(apart & at_first)
+
+
 def class_of_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """(doc_id, class_id, n_shingles): one row per row of ``docs``."""
     rows, table = classes(docs, id, text, **options)
