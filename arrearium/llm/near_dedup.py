@@ -271,17 +271,22 @@ def _prefix_pairs(open_: DataFrame, texts: DataFrame, near, similarity: float, s
     first = F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1
     length = F.greatest(F.lit(0), first - (F.col("n") - F.size("all"))).cast("int")
     prefixes = ordered.join(open_, "node").select(
-        "node", "n", "label", F.transform(F.slice("all", 1, length), lambda x: x["e"]).alias("prefix")
+        "node", "n", "label", F.transform(F.slice("all", 1, length), lambda x: x["e"]).alias("prefix"),
+        (F.col("n") - F.size("all")).alias("alone"),
     )
-    rows = stored(_several(prefixes.withColumn("e", F.explode("prefix")), "e"), "prefixes")
+    placed = prefixes.select("node", "n", "label", "prefix", "alone", F.posexplode("prefix").alias("pos", "e"))
+    placed = placed.withColumn("left", F.col("n") - F.col("alone") - F.col("pos")).drop("alone", "pos")
+    rows = stored(_several(placed, "e"), "prefixes")
     # Pairs have a member outside the element's largest class, so that class is never paired with itself.
     cells = rows.groupBy("e", "label").agg(F.count("*").alias("c"))
     main = cells.groupBy(F.col("e").alias("of")).agg(F.max(F.struct("c", "label"))["label"].alias("main"))
     lone = rows.join(main, rows["e"] == main["of"]).where("label <> main")
-    lone = lone.select("e", *[F.col(c).alias(f"{c}_o") for c in ("node", "n", "label", "prefix")])
+    lone = lone.select("e", *[F.col(c).alias(f"{c}_o") for c in ("node", "n", "label", "prefix", "left")])
     at_first = F.get(F.array_intersect("prefix", "prefix_o"), F.lit(0)) == F.col("e")
     apart = (F.col("label") != F.col("label_o")) & near(F.col("n"), F.col("n_o"))
-    return rows.join(lone, "e").where(apart & at_first)
+    needed = (F.col("n") + F.col("n_o")) * (similarity / (1 + similarity)) - 1e-9
+    enough = F.least("left", "left_o") >= needed
+    return rows.join(lone, "e").where(apart & enough & at_first)
 
 
 def class_of_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
