@@ -121,6 +121,12 @@ def unpack(parts: list[bytes] | None, dtype: np.dtype) -> np.ndarray:
     return np.frombuffer(b"".join(parts or []), dtype)
 
 
+def columns(rows: np.ndarray, *order: str) -> dict[str, np.ndarray]:
+    """The fields of structured rows as arrays of their own, in order of some fields: quicker to sort and search."""
+    at = np.lexsort([rows[name] for name in reversed(order)])
+    return {name: rows[name][at] for name in rows.dtype.names}
+
+
 def group_min(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct keys in order, the smallest value of each, and the place of every row's key."""
     keys, place = np.unique(key, return_inverse=True)
