@@ -172,19 +172,19 @@ def _least_around(rows: np.ndarray, block: np.ndarray, bucket: int) -> tuple[np.
     return out[keep], block[keep]
 
 
-def _closer(said: np.ndarray, a: Anchors, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _closer(said: dict[str, np.ndarray], a: Anchors, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(anchors to be looked at string by string, smallest document of each anchor's 75-byte rank where known)."""
     there, at = rounds.find(said["c"], a.around)
     least = np.full(len(a.at), np.iinfo(np.int64).max)
     least[there] = said["least"][at[there]]
-    if len(said) == 0:
+    if len(said["c"]) == 0:
         return np.zeros(0, np.int64), least
     return np.flatnonzero(there & (said["more"][at] > 0) & (ids[a.text] == least)), least
 
 
 def _send_strings(length: int, buckets: int):
     def make(table: pa.Table, answers: dict[int, list[bytes]]) -> Iterable[tuple[int, bytes]]:
-        said = np.sort(rounds.unpack(answers.get(2), _AROUND_SAID), order="c")
+        said = rounds.columns(rounds.unpack(answers.get(2), _AROUND_SAID), "c")
         got = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
         for _, _, ids, a in _ranges(table, length):
             which, _ = _closer(said, a, ids)
@@ -216,8 +216,8 @@ def _removed(length: int, keep_text: bool):
     """A block's documents without what repeats."""
 
     def make(table: pa.Table, answers: dict[int, list[bytes]]) -> pa.Table:
-        said = np.sort(rounds.unpack(answers.get(2), _AROUND_SAID), order="c")
-        strings = np.sort(rounds.unpack(answers.get(3), _STRING), order="s")
+        said = rounds.columns(rounds.unpack(answers.get(2), _AROUND_SAID), "c")
+        strings = rounds.columns(rounds.unpack(answers.get(3), _STRING), "s")
         # The smallest document of each rank inside the block; those of other blocks are in the answers.
         got, near = [], [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
         for _, _, ids, a in _ranges(table, length):
