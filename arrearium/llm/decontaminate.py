@@ -30,11 +30,13 @@ from arrearium.llm.common import chunks, texts_of, words_of
 
 #: Hashed words, latent dimensions, words in a passage and in a unit of a window.
 FEATURES, DIMENSIONS, PASSAGE, UNIT = 1 << 14, 48, 64, 8
-COSINE, VERBATIM, PARAPHRASE, LEAST_WORDS = 0.62, 0.75, 0.5, 8
+COSINE, VERBATIM, PARAPHRASE, LEAST_WORDS = 0.45, 0.75, 0.5, 8
 #: Bytes of benchmark text in one block of queries; a longer benchmark takes a pass over the documents per block.
 QUERY_BYTES = 4_000_000
 #: Bytes of text worked on at once: their words' vectors stay in a core's cache.
 RANGE_BYTES = 60_000
+#: Numbers of 64 bits that mark which words a stretch has.
+MARKS = 8
 #: Rows of the sketch that are added up together.
 STRIPES = 16
 
@@ -158,9 +160,18 @@ class Items:
     words: list[np.ndarray]
     answers: list[np.ndarray]
     sets: list[frozenset]
+    sizes: np.ndarray
+    marks: np.ndarray
     by_units: dict[int, tuple[np.ndarray, np.ndarray]]
 
 
+def _marks(h: np.ndarray, owner: np.ndarray, owners: int) -> np.ndarray:
+    """For each owner the bits of its words."""
+    marks = np.zeros(owners * MARKS, np.uint64)
+    np.bitwise_or.at(marks, owner * MARKS + (h % _U(MARKS)).astype(np.int64), _U(1) << (h >> _U(8)) % _U(64))
+    return marks.reshape(owners, MARKS)
+
+
 def _answer(text: str) -> str:
     """The last sentence of an item."""
     parts = [p for p in text.replace("?", ".").replace("!", ".").replace("\n", ".").split(".") if p.strip()]
@@ -185,7 +196,11 @@ def _prepared(rows: list[tuple[int | None, str | None]], space: np.ndarray) -> I
         vectors = np.stack([space[_feature(words[i])].sum(axis=0) for i in members])
         vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-30)
         by_units[units] = (np.array(members), np.ascontiguousarray(vectors.T))
-    return Items([i for i, _ in rows], words, answers, [frozenset(w.tolist()) for w in words], by_units)
+    sizes = np.array([len(w) for w in words])
+    flat = np.concatenate([*words, np.zeros(0, np.uint64)])
+    marks = _marks(flat, np.repeat(np.arange(len(words)), sizes), len(words))
+    sets = [frozenset(w.tolist()) for w in words]
+    return Items([i for i, _ in rows], words, answers, sets, sizes, marks, by_units)
 
 
 def _run_in(part: np.ndarray, whole: np.ndarray) -> bool:
@@ -227,8 +242,12 @@ def _leak(item: np.ndarray, answer: np.ndarray, words: np.ndarray, verbatim: flo
     return 0
 
 
-def _candidates(space: np.ndarray, items: Items, h: np.ndarray, first: np.ndarray, cosine: float):
-    """(text, item, first word, end, cosine) of merged runs of similar windows."""
+def _candidates(space: np.ndarray, items: Items, h: np.ndarray, first: np.ndarray, cosine: float, share: float):
+    """(text, item, first word, end, cosine) of merged runs of similar windows.
+
+    Windows whose surroundings lack too many of the item's words for a subsequence of ``share`` of them are left out;
+    the bits that stand for words only ever show fewer words as missing.
+    """
     start, begin = _units(first, UNIT)
     units = len(start)
     if units == 0:
@@ -238,6 +257,7 @@ def _candidates(space: np.ndarray, items: Items, h: np.ndarray, first: np.ndarra
     np.cumsum(sums, axis=0, out=prefix[1:])
     text = np.repeat(np.arange(len(first) - 1), np.diff(begin))
     final = begin[text + 1]
+    own = _marks(h, np.repeat(np.arange(units), np.diff(np.append(start, len(h)))), units)
     for n, (members, vectors) in items.by_units.items():
         # Windows that overlap by half or more, also those cut short by the end of the text.
         step = 1 if n == 2 else 2
@@ -246,6 +266,17 @@ def _candidates(space: np.ndarray, items: Items, h: np.ndarray, first: np.ndarra
         window /= np.maximum(np.sqrt(np.einsum("ij,ij->i", window, window)), 1e-30)[:, None]
         similar = window @ vectors
         place, item = np.nonzero(similar >= cosine)
+        # The words that are compared reach up to half an item beyond the window.
+        wide = max(1, -(-max(UNIT, int(items.sizes[members].max()) // 2) // UNIT))
+        padded = np.zeros((units + 2 * wide + n, MARKS), np.uint64)
+        padded[wide : wide + units] = own
+        around = padded[at].copy()
+        for shift in range(1, n + 2 * wide):
+            around |= padded[at + shift]
+        lacking = np.bitwise_count(items.marks[members[item]] & ~around[place]).sum(axis=1, dtype=np.int64)
+        size = items.sizes[members[item]]
+        enough = size - lacking >= share * size
+        place, item = place[enough], item[enough]
         if len(place) == 0:
             continue
         value, place = similar[place, item], at[place]
@@ -268,7 +299,7 @@ def _found(space: np.ndarray, items: Items, column: pa.Array, cosine: float, ver
     """(row, item, words found, cosine) of all leaks of a column; of several in one row the longest."""
     for i, _, h, first in _words(column):
         best: dict[tuple[int, int], tuple[int, float]] = {}
-        for t, item, low, high, value in _candidates(space, items, h, first, cosine):
+        for t, item, low, high, value in _candidates(space, items, h, first, cosine, min(verbatim, paraphrase)):
             # Distinct words that do not occur here are missing from any common subsequence.
             absent = len(items.sets[item].difference(h[low:high].tolist()))
             if len(items.words[item]) - absent < min(verbatim, paraphrase) * len(items.words[item]):
