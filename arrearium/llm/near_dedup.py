@@ -259,7 +259,8 @@ def _prefix_pairs(open_: DataFrame, texts: DataFrame, near, similarity: float, s
     Two multisets of n and m elements with Jaccard similarity t share at least t * max(n, m); so among the
     n - ceil(t * n) + 1 first elements of either, in any order common to all, there is a shared one.  The order
     is by frequency among the open nodes; elements that no other has come first and are left out.  A pair is
-    made at its first shared element only.
+    made at its first shared element only, and only if what comes from there on in both (``left``) can hold the
+    t / (1 + t) * (n + m) elements that a similar pair shares.
     """
     lists = texts.join(open_.select("node"), "node", "left_semi").mapInArrow(
         _elements(size), "node binary, elements array<long>"
