@@ -10,7 +10,7 @@ from arrearium.operators import asof, joins, windows
 from arrearium.plans import contracts as co
 from arrearium.plans.snapshots import _snapshots_of
 from catalog.kpis import REPORT, financials
-from catalog.registry import ORACLE_VIEWS, dbl, months, part_of, query, rnd, ts, txt
+from catalog.registry import dbl, months, part_of, query, ts, txt
 from catalog.tables import FIRST_MONTH, LAST_MONTH, RULES, VIEWS, Tables, present
 
 
