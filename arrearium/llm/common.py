@@ -168,6 +168,14 @@ def shingles_of(words: Words, size: int = 5) -> tuple[np.ndarray, np.ndarray, np
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
+def run_hash(h: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all runs of ``size`` words with hashes ``h``, from running sums: the cost does not grow with ``size``."""
+    n = max(0, len(h) - size + 1)
+    c = np.zeros(len(h) + 1, np.uint64)
+    np.cumsum(mix(h + _U(0x632BE59BD9B4E019)) * _powers(_P, len(h))[: len(h)], out=c[1:])
+    return mix((c[size : size + n] - c[:n]) * _powers(_P_INV, max(1, n))[:n] + _U(size))
+
+
 def id_or_last(column: str) -> Column:
     """A document id as a number; null counts as larger than all."""
     return F.coalesce(F.col(column).cast("long"), F.lit(2**63 - 1))

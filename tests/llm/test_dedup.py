@@ -139,3 +139,16 @@ def test_passages_of_odd_rows(spark):
     assert cut.count() == len(odd_rows())
     assert chaining.repeated_passages(none(spark)).count() == 0
     assert chaining.without_passages(none(spark)).count() == 0
+
+
+def test_a_copy_is_found_although_its_seeds_occur_first_in_pieces_elsewhere(spark):
+    """Docs 1 to 3 hold 22 words of a passage of 60 each, so that no run of five words occurs first in its whole copy."""
+    p = prose(60, 60).split(" ")
+    pieces = {1: p[:22], 2: p[18:42], 3: p[38:], 4: p, 5: p}
+    rows = [(i, " ".join([prose(70 + i, 40), *w, prose(80 + i, 30)])) for i, w in pieces.items()]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for block_bytes in (24_000_000, 600):
+        got = [(r.doc_id, r.other_id, r.first_word, r.end_word) for r in chaining.repeated_passages(df, block_bytes=block_bytes).collect()]
+        assert got == [(5, 4, 40, 100)]
+    left = {r.doc_id: words(r.text) for r in chaining.without_passages(df).collect()}
+    assert left[4] == words(rows[3][1]) and left[5] == words(prose(75, 40)) + words(prose(85, 30))
