@@ -152,3 +152,33 @@ def test_a_copy_is_found_although_its_seeds_occur_first_in_pieces_elsewhere(spar
         assert got == [(5, 4, 40, 100)]
     left = {r.doc_id: words(r.text) for r in chaining.without_passages(df).collect()}
     assert left[4] == words(rows[3][1]) and left[5] == words(prose(75, 40)) + words(prose(85, 30))
+
+
+def test_passages_inside_a_chain_that_is_not_similar_as_a_whole(spark):
+    """Template pages: 60 equal words, then five times 10 differing and 12 equal ones."""
+    def page(i, equal, differing):
+        tail = [w for k in range(5) for w in (prose(200 + 10 * i + k, differing) + " " + prose(300 + k, equal)).split(" ")]
+        return prose(310 + i, 30).split(" ") + prose(320, 60).split(" ") + tail
+
+    pages = {i: page(i, 12, 10) for i in (1, 2)}
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in pages.items()], "doc_id long, text string")
+    (got,) = chaining.repeated_passages(df).collect()
+    assert (got.doc_id, got.other_id, got.first_word) == (2, 1, 30) and got.end_word >= 90
+    assert got.n_matched >= 0.8 * (got.end_word - got.first_word)
+
+
+def test_segments_hold_every_long_similar_stretch():
+    r = np.random.default_rng(3)
+    for _ in range(60):
+        step = r.integers(1, 4, (2, 120)) * (r.random((2, 120)) < 0.2) + 1
+        x, y = np.cumsum(step, 1)
+        need, got = set(), set()
+        for i in range(len(x)):
+            for j in range(i, len(x)):
+                width, other = x[j] - x[i] + 1, y[j] - y[i] + 1
+                if width >= 25 and j - i + 1 >= 0.8 * max(width, other) - 1e-9:
+                    need |= set(range(x[i], x[j] + 1))
+        for x0, x1, y0, y1, n in chaining.segments(x, y, 25, 0.8):
+            assert x1 - x0 >= 25 and n >= 0.8 * max(x1 - x0, y1 - y0) - 1e-9
+            got |= set(range(x0, x1))
+        assert got == need
