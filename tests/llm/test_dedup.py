@@ -182,3 +182,15 @@ def test_segments_hold_every_long_similar_stretch():
             assert x1 - x0 >= 25 and n >= 0.8 * max(x1 - x0, y1 - y0) - 1e-9
             got |= set(range(x0, x1))
         assert got == need
+
+
+def test_a_passage_in_pieces_behind_a_long_one(spark):
+    """400 equal words, 60 others, then five pieces of 18 equal words with 3 words between them on one side."""
+    pieces = [prose(400 + k, 18) for k in range(5)]
+    rows = [
+        (1, " ".join([prose(410, 400), prose(411, 60), *pieces])),
+        (2, " ".join([prose(410, 400), prose(412, 60), *(p + " " + prose(420 + k, 3) for k, p in enumerate(pieces))])),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.first_word, r.end_word, r.n_matched) for r in chaining.repeated_passages(df).collect())
+    assert got == [(0, 400, 400), (460, 562, 90)]
