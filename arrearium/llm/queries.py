@@ -145,8 +145,8 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op8_shards")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
-    out = sharding.shuffled(sharding.digest(read(spark, folder, "documents")))
-    return out.select("*", F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard"))
+    out = sharding.written(read(spark, folder, "documents"))
+    return sharding.digest(out, keep=("shard", "slot")).select("*", F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard"))
 
 
 @query("op9_decontaminate")

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from arrearium.llm.common import stored
+from arrearium.session import scratch_path
 
 #: Rows that one task of a shard permutes at most, about.
 PIECE_ROWS = 50_000
@@ -169,16 +170,22 @@ def shuffled(rows: DataFrame, shards: int = SHARDS, seed: int = 17, piece_rows:
     often a task runs.  Parts are cut so that none exceeds ``piece_rows`` by much; slots are dealt in pieces of a
     shard, so no task ever holds a whole shard.
     """
-    own = rows.columns
+    own, low_bits = rows.columns, F.lit((1 << 33) - 1)
+    # A task's rows in runs: (task, run) is a part.  Each task permutes its runs itself, before anything is exchanged.
+    drawn = rows.select("*", F.monotonically_increasing_id().alias("at_"), F.rand(seed).alias("key_")).select(
+        *own, "key_", F.floor(F.col("at_").bitwiseAND(low_bits) / piece_rows).alias("run_")
+    )
+    permuted = drawn.sortWithinPartitions("run_", "key_", *[F.xxhash64(c) for c in own])
     staged = stored(
-        rows.select("*", F.monotonically_increasing_id().alias("at_"), F.rand(seed).alias("key_")).select(
+        permuted.select("*", F.monotonically_increasing_id().alias("at_")).select(
             *own,
             "key_",
-            # A task's rows in runs: (task, run) is a part.
             F.shiftright("at_", 33).alias("task_"),
-            F.floor(F.col("at_").bitwiseAND(F.lit((1 << 33) - 1)) / piece_rows).alias("run_"),
+            "run_",
+            (F.col("at_").bitwiseAND(low_bits) - F.col("run_") * piece_rows + 1).alias("rank_"),
         ),
         "shards",
+        compression="zstd",
     )
     runs = staged.groupBy("task_", "run_").agg(F.count("*").alias("n"))
     # Number the parts 0 to P - 1: the tasks' offsets are sums over tasks, a small table.
@@ -190,11 +197,11 @@ def shuffled(rows: DataFrame, shards: int = SHARDS, seed: int = 17, piece_rows:
         "shard-parts",
     )
     matrix = communication_matrix(parts.select("part", "n"), shards, seed)
-    limits = parts.join(matrix, "part").select("task_", "run_", _prefix(F.col("take")).alias("limits_"))
-
-    local = Window.partitionBy("task_", "run_").orderBy("key_", *[F.xxhash64(c) for c in own])
-    ranked = staged.withColumn("rank_", F.row_number().over(local))
-    sent = ranked.join(limits, ["task_", "run_"]).withColumn(
+    # Stored, so that its size is known and the rows are not exchanged for this small table.
+    limits = stored(
+        parts.join(matrix, "part").select("task_", "run_", _prefix(F.col("take")).alias("limits_")), "shard-limits"
+    )
+    sent = staged.join(limits, ["task_", "run_"]).withColumn(
         "shard", F.size(F.filter("limits_", lambda x: x < F.col("rank_"))).cast("int")
     )
     second = F.xxhash64(F.lit(seed + 1), "key_", "rank_", "task_", "run_")
@@ -214,11 +221,20 @@ def shuffled(rows: DataFrame, shards: int = SHARDS, seed: int = 17, piece_rows:
     return sent.select(*own, "shard", (F.row_number().over(final) - 1 + F.col("base_")).cast("long").alias("slot"))
 
 
-def digest(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """What is shuffled for a document: its id, its size (UTF-8 bytes and 16) and the CRC-32 of its text."""
+def written(rows: DataFrame, shards: int = SHARDS, seed: int = 17, piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """The shards of ``shuffled`` as files, read again: a folder a shard, whose files hold pieces of it in order of slots."""
+    spark = rows.sparkSession
+    out, path = shuffled(rows, shards, seed, piece_rows), scratch_path(spark, "shard-files")
+    out.write.option("compression", "zstd").partitionBy("shard").parquet(path)
+    return spark.read.schema(out.schema).parquet(path).select(*out.columns)
+
+
+def digest(docs: DataFrame, id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Of a document its id, its size (UTF-8 bytes and 16), the CRC-32 of its text and the columns ``keep``."""
     data = F.coalesce(F.col(text), F.lit("")).cast("binary")
     return docs.select(
         F.col(id).alias("doc_id"),
         (F.octet_length(data) + 16).cast("long").alias("size"),
         F.crc32(data).alias("text_crc32"),
+        *keep,
     )

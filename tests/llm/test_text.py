@@ -95,6 +95,23 @@ def test_shards_of_odd_rows(spark):
     assert sharding.shuffled(sharding.digest(none(spark)), 5).count() == 0
 
 
+def test_the_query_shuffles_and_writes_whole_documents(spark, documents, monkeypatch):
+    from arrearium.llm import queries
+
+    given, real = [], sharding.shuffled
+    monkeypatch.setattr(sharding, "shuffled", lambda rows, *a: given.append(rows.columns) or real(rows, *a))
+    got = queries.QUERIES["op8_shards"](spark, FOLDER)
+    assert given == [documents.columns]
+    plain = sorted(map(tuple, sharding.digest(documents).collect()))
+    assert sorted((r.doc_id, r.size, r.text_crc32) for r in got.collect()) == plain
+    files = sharding.written(documents, 3)
+    assert sorted(map(tuple, files.select(*documents.columns).collect()), key=str) == sorted(map(tuple, documents.collect()), key=str)
+    at = {}
+    for r in files.select("shard", "slot", F.input_file_name().alias("file")).collect():
+        at.setdefault((r.shard, r.file), []).append(r.slot)
+    assert all(slots == sorted(slots) for slots in at.values())
+
+
 # Tokens
 
 
