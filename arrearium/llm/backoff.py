@@ -1,12 +1,13 @@
-"""Stupid-backoff scores of all documents under the bigram model of the whole corpus.
+"""Stupid-backoff scores of all documents under an n-gram model of the whole corpus, bigrams by default.
 
-A block of documents sends its distinct unigrams and bigrams with their counts to the buckets of the count table,
+A block of documents sends its distinct n-grams with their counts to the buckets of the count table,
 which is partitioned by the hash of the n-gram; each bucket adds up and hands every block its totals, in the order in
 which the block named them; the block sums the scores of its documents.  So an n-gram crosses the network once per
 block however often it occurs, and the commonest word is no hot key.
 
-A word scores count(previous, word) / count(previous) if the pair occurs ``least`` times or more in the corpus, else
-``alpha`` * count(word) / words in the corpus; the first word of a document has no previous word and no ``alpha``.
+A word scores count(context, word) / count(context) with the longest context, of ``order`` - 1 words at most, after which
+it occurs ``least`` times or more in the corpus, else count(word) / words in the corpus; each word by which the context
+is shorter than the text allows costs a factor ``alpha``.  The first word of a document has no context.
 
 Defined results: a null text or one without words scores null; repeated rows count each; a null id is kept; an
 empty table gives none.
@@ -24,30 +25,35 @@ from pyspark.sql import functions as F
 from arrearium.llm import blocks as rounds
 from arrearium.llm.common import as_id, chunks, mix, stored, texts_of, words_of
 
-ALPHA, LEAST = 0.4, 2
+#: Words of the longest n-gram; the query and its SQL have a bigram model.
+ALPHA, LEAST, ORDER = 0.4, 2, 2
 #: Bytes of text in a block: its distinct n-grams are in memory at once.
 BLOCK_BYTES = 16_000_000
 
 _U = np.uint64
 
 
-def _grams(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
-    """(unigrams, bigrams with the word before, first word of each text, texts) of ranges of a block's texts.
+def _grams(table: pa.Table, order: int) -> Iterator[tuple[list[np.ndarray], np.ndarray, int]]:
+    """(n-grams of 1 to ``order`` words by their last word, first word of each text, texts) of ranges of a block's texts.
 
-    A text's first word has no bigram; its place holds 0.
+    A place with fewer words before it in its text holds 0.
     """
     data, offsets = texts_of(table.column("text"))
     for i, j in chunks(offsets):
         words = words_of(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-        one = words.hash | _U(1)
-        two = np.zeros(len(one), np.uint64)
-        if len(one) > 1:
-            pair = mix(words.hash[:-1] * _U(0x9E3779B97F4A7C15) + mix(words.hash[1:])) & ~_U(1)
-            two[1:] = np.where(words.text[1:] == words.text[:-1], pair, 0)
-        yield one, two, words.first, j - i
-
-
-def _distinct(table: pa.Table, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        grams, before = [words.hash | _U(1)], words.hash
+        for _ in range(1, order):
+            longer = np.zeros(len(before), np.uint64)
+            if len(before) > 1:
+                gram = mix(before[:-1] * _U(0x9E3779B97F4A7C15) + mix(words.hash[1:])) & ~_U(1)
+                whole = (words.text[1:] == words.text[:-1]) & (grams[-1][:-1] != 0)
+                longer[1:] = np.where(whole, gram, 0)
+            grams.append(longer)
+            before = longer
+        yield grams, words.first, j - i
+
+
+def _distinct(table: pa.Table, buckets: int, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct n-grams of a block, their counts and buckets, by bucket and then by hash."""
     keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     waiting: list[np.ndarray] = []
@@ -58,16 +64,16 @@ def _distinct(table: pa.Table, buckets: int) -> tuple[np.ndarray, np.ndarray, np
         all_keys, place = np.unique(np.concatenate([keys, new]), return_inverse=True)
         return all_keys, np.bincount(place, np.concatenate([counts, n]), len(all_keys)).astype(np.int64)
 
-    for one, two, _, _ in _grams(table):
-        waiting += [one, two[two != 0]]
+    for grams, _, _ in _grams(table, order):
+        waiting += [grams[0], *(g[g != 0] for g in grams[1:])]
         if sum(map(len, waiting)) > 1_500_000:
             keys, counts = merge()
             waiting = []
     if waiting:
         keys, counts = merge()
     bucket = ((keys >> _U(32)) % _U(buckets)).astype(np.int32)
-    order = np.argsort(bucket, kind="stable")
-    return keys[order], counts[order], bucket[order]
+    by = np.argsort(bucket, kind="stable")
+    return keys[by], counts[by], bucket[by]
 
 
 def _parts(bucket: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -77,9 +83,9 @@ def _parts(bucket: np.ndarray) -> Iterator[tuple[int, int, int]]:
             yield int(bucket[low]), low, high
 
 
-def _send(buckets: int):
+def _send(buckets: int, order: int):
     def make(table: pa.Table) -> Iterable[tuple[int, bytes]]:
-        keys, counts, bucket = _distinct(table, buckets)
+        keys, counts, bucket = _distinct(table, buckets, order)
         for b, low, high in _parts(bucket):
             yield b, keys[low:high].tobytes() + counts[low:high].astype("<u4").tobytes()
 
@@ -110,29 +116,35 @@ _SCORE = pa.schema(
 )
 
 
-def _scores(buckets: int, least: int, alpha: float):
+def _scores(buckets: int, order: int, least: int, alpha: float):
     def make(table: pa.Table, answers: dict[int, list[bytes]]) -> pa.Table:
-        keys, _, bucket = _distinct(table, buckets)
+        keys, _, bucket = _distinct(table, buckets, order)
         total = np.zeros(len(keys), np.int64)
         for b, low, high in _parts(bucket):
             total[low:high] = np.frombuffer(answers[b][0], "<u8")
-        order = np.argsort(keys)
-        keys, total = keys[order], total[order]
+        by = np.argsort(keys)
+        keys, total = keys[by], total[by]
         out: list[list[np.ndarray]] = [[], [], [], []]
-        for one, two, first, texts in _grams(table):
-            single = total[np.searchsorted(keys, one)].astype(np.float64)
-            paired = np.zeros(len(one))
-            has = two != 0
-            paired[has] = total[np.searchsorted(keys, two[has])]
-            before = np.append(1.0, single[:-1])[: len(single)]
-            seen = paired >= least
+        for grams, first, texts in _grams(table, order):
+            before = total[np.searchsorted(keys, grams[0])].astype(np.float64)
             with np.errstate(divide="ignore"):
-                log = np.where(seen, np.log10(paired / before), np.log10(single))
-            log[~seen & has] += np.log10(alpha)
+                log = np.log10(before)
+            used, most = np.ones(len(log), np.int64), np.ones(len(log), np.int64)
+            for k in range(2, order + 1):
+                has = grams[k - 1] != 0
+                count = np.zeros(len(log))
+                count[has] = total[np.searchsorted(keys, grams[k - 1][has])]
+                seen = has & (count >= least)
+                context = np.append(1.0, before[:-1])[: len(log)]
+                log[seen] = np.log10(count[seen] / context[seen])
+                used[seen] = k
+                most += has
+                before = count
+            log += (most - used) * np.log10(alpha)
             sums = lambda x: np.diff(np.concatenate(([0], np.cumsum(x)))[first])
             out[0].append(np.diff(first))
-            out[1].append(sums(~seen))
-            out[2].append(sums(~seen & has))
+            out[1].append(sums(used == 1))
+            out[2].append(sums(used < most))
             # A text's own words are added up by themselves, so a long range costs no digits.
             part = np.zeros(texts)
             some = np.flatnonzero(np.diff(first))
@@ -147,13 +159,13 @@ def _scores(buckets: int, least: int, alpha: float):
 
 def scores(
     docs: DataFrame, id: str = "doc_id", text: str = "text", least: int = LEAST, alpha: float = ALPHA,
-    block_bytes: int = BLOCK_BYTES,
+    block_bytes: int = BLOCK_BYTES, order: int = ORDER,
 ) -> DataFrame:
     """(doc_id, n_words, n_backoff, log_score, mean_log_score), logarithms to the base 10."""
     own, n = rounds.in_blocks(docs, id, text, block_bytes)
-    totals = rounds.send(own, _send(n)).groupBy("bucket").applyInArrow(_totals, rounds.ANSWER)
+    totals = rounds.send(own, _send(n, order)).groupBy("bucket").applyInArrow(_totals, rounds.ANSWER)
     schema = "id long, n_words long, n_plain long, n_backoff long, part double"
-    parts = stored(rounds.finish(own, totals, _scores(n, least, alpha), schema, _SCORE), "scores")
+    parts = stored(rounds.finish(own, totals, _scores(n, order, least, alpha), schema, _SCORE), "scores")
     # One number, the words of the corpus, completes what was scored without a pair.
     words = parts.agg(F.sum("n_words")).first()[0] or 1
     score = F.when(F.col("n_words") > 0, F.col("part") - F.col("n_plain") * F.log10(F.lit(float(words))))

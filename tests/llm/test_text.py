@@ -195,6 +195,30 @@ def test_scores_of_odd_rows(spark):
     assert backoff.scores(none(spark)).count() == 0
 
 
+def test_scores_back_off_again_and_again(spark):
+    """Orders 3 and 4 against plain counts; few words, so that all steps occur."""
+    r = random.Random(8)
+    texts = [" ".join(r.choice("abcdefgh") for _ in range(r.randint(0, 25))) for _ in range(30)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    grams = Counter()
+    for t in texts:
+        w = t.split()
+        grams.update(tuple(w[i : i + k]) for k in range(1, 5) for i in range(len(w) - k + 1))
+    total = sum(n for g, n in grams.items() if len(g) == 1)
+
+    def word(w, i, order):
+        for steps, k in enumerate(range(min(order, i + 1), 0, -1)):
+            g = tuple(w[i + 1 - k : i + 1])
+            if k == 1 or grams[g] >= 2:
+                return steps, 0.4**steps * grams[g] / (grams[g[:-1]] if k > 1 else total)
+
+    for order in (3, 4):
+        for x in backoff.scores(df, block_bytes=300, order=order).collect():
+            plain = [word(texts[x.doc_id].split(), i, order) for i in range(x.n_words)]
+            assert x.n_backoff == sum(steps > 0 for steps, _ in plain)
+            assert plain == [] or abs(x.log_score - sum(math.log10(p) for _, p in plain)) < 1e-6
+
+
 # Leaks
 
 
