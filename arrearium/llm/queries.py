@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrearium.llm import backoff, bpe, chaining, decontaminate, near_dedup, quality_rules, sharding, suffix_dedup, token_counts, warc
+from arrearium.llm import (
+    alignment, backoff, bpe, chaining, conversations, decontaminate, near_dedup, quality_rules, sharding, suffix_dedup, token_counts, warc,
+)
 from arrearium.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -158,3 +160,89 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     file = token_counts.content(spark, public_tokenizers.path("byte_bpe_50k.json"))
     return token_counts.token_counts(read(spark, folder, "documents"), file, pattern=public_tokenizers.PATTERN)
+
+
+#: Damaged rows, their faults and counts, and the cheapest reading of every beginning of a conversation.
+OP12_ROWS = """
+WITH RECURSIVE crc AS (  -- the table of CRC-32
+  SELECT list(list_reduce(range(8), lambda c, k: xor(c >> 1, CASE WHEN c % 2 = 1 THEN 3988292384 ELSE 0 END), n) ORDER BY n) AS t
+  FROM range(256) AS r(n)),
+raw AS (
+  SELECT conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+  FROM conversations),
+coded AS (
+  SELECT raw.*, xor(list_reduce(list_transform(range(1, length(k) + 1), lambda i: CAST(ascii(k[i]) AS BIGINT)),
+           lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295), 4294967295) % 20 AS d
+  FROM raw, crc),
+rows_ AS (
+  SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+         CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM coded, unnest(range(CASE d WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) WHERE d <> 0),
+told AS (
+  SELECT *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS solid, left(role, 1) AS initial,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS again
+  FROM rows_),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, again) AS i FROM told),
+faulty AS (
+  SELECT *, CASE WHEN solid = '' THEN 1 WHEN again > 1 THEN 2 WHEN right(solid, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+         lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair
+  FROM placed),
+counted AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulty GROUP BY conv_id),
+-- The cheapest (cost, audit, turns) to read nothing, a system turn, a user turn, an assistant turn last; x is out of reach.
+parse AS (
+  SELECT conv_id, 0 AS i, {'c': 0, 'a': '', 'o': CAST([] AS VARCHAR[])} AS p0, {'c': 999999999, 'a': '', 'o': CAST([] AS VARCHAR[])} AS p1,
+         {'c': 3, 'a': 'I', 'o': ['user:']} AS p2, {'c': 6, 'a': 'II', 'o': ['user:', 'assistant:']} AS p3
+  FROM counted
+  UNION ALL
+  SELECT conv_id, i, q0, q1, c2, list_sort([q3, {'c': c2.c + 3, 'a': c2.a || 'I', 'o': list_append(c2.o, 'assistant:')}])[1]
+  FROM (SELECT conv_id, i, q0, q1, q3, list_sort([q2] || list_transform([q0, q1, q3], lambda q:
+          {'c': q.c + 3, 'a': q.a || 'I', 'o': list_append(q.o, 'user:')}))[1] AS c2
+        FROM (
+          SELECT p.conv_id, f.i,
+                 {'c': p0.c + 4, 'a': p0.a || 'D', 'o': p0.o} AS q0,
+                 list_sort([{'c': p1.c + 4, 'a': p1.a || 'D', 'o': p1.o},
+                   {'c': p0.c + CASE WHEN initial <> 's' OR fault IN (1, 2) THEN 999999999 WHEN fault = 3 THEN 3 ELSE 0 END,
+                    'a': p0.a || 'K', 'o': list_append(p0.o, role || ':' || text)}])[1] AS q1,
+                 list_sort([{'c': p2.c + 4, 'a': p2.a || 'D', 'o': p2.o}] || list_transform([p0, p1, p3], lambda p:
+                   {'c': p.c + CASE WHEN fault IN (1, 2) THEN 999999999 ELSE fault END + CASE WHEN initial = 'u' THEN 0 ELSE 3 END,
+                    'a': p.a || CASE WHEN initial = 'u' THEN 'K' ELSE 'R' END,
+                    'o': list_append(p.o, CASE WHEN initial = 'u' THEN role ELSE 'user' END || ':' || text)}))[1] AS q2,
+                 list_sort([{'c': p3.c + 4, 'a': p3.a || 'D', 'o': p3.o},
+                   {'c': p2.c + CASE WHEN fault IN (1, 2) THEN 999999999 ELSE fault END + CASE WHEN initial = 'a' THEN 0 ELSE 3 END,
+                    'a': p2.a || CASE WHEN initial = 'a' THEN 'K' ELSE 'R' END,
+                    'o': list_append(p2.o, CASE WHEN initial = 'a' THEN role ELSE 'assistant' END || ':' || text)}])[1] AS q3
+          FROM parse AS p JOIN faulty AS f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.i + 1))),
+done AS (
+  SELECT p.conv_id, list_sort([p0, p3])[1] AS best FROM parse AS p JOIN counted AS c
+  ON c.conv_id IS NOT DISTINCT FROM p.conv_id AND c.n = p.i)
+"""
+
+
+@query(
+    "op12_repair",
+    OP12_ROWS
+    + """
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(best.c, 0) AS BIGINT) AS cost,
+       coalesce(best.a, '') AS audit, sha256(coalesce(array_to_string(best.o, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS o
+LEFT JOIN counted AS c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN done AS d ON d.conv_id IS NOT DISTINCT FROM o.conv_id
+""",
+)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    rows = conversations.damaged(read(spark, folder, "conversations"))
+    return conversations.report(conversations.edits(rows, gone="gone"))
+
+
+@query("op13_align")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = token_counts.content(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        model = f.read()
+    return alignment.aligned(alignment.postings(read(spark, folder, "documents"), tokenizer, model))
