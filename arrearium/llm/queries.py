@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrearium.llm import (
-    alignment, backoff, bpe, chaining, conversations, decontaminate, near_dedup, quality_rules, sharding, suffix_dedup, token_counts, warc,
+    alignment, backoff, bpe, chaining, conversations, decontaminate, near_dedup, quality_rules, sharding, site_style, suffix_dedup,
+    token_counts, warc,
 )
 from arrearium.llm.common import read
 
@@ -240,6 +241,11 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
     return conversations.report(conversations.edits(rows, gone="gone"))
 
 
+@query("op11_style")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return site_style.extracted(read(spark, folder, "pages"))
+
+
 @query("op13_align")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = token_counts.content(spark, public_tokenizers.path("byte_bpe_50k.json"))
