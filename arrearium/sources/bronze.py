@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrearium import values
+from arrearium.sources import split_csv
 
 ITEM_ORDER = ("ingest_date", "landing", "page", "file_path", "block_start", "position")
 
@@ -90,6 +91,17 @@ def preferred_file(files: DataFrame, preferred: str | None = None) -> DataFrame:
     ).select("_f.*")
 
 
+def preferred_export(files: DataFrame, preferred: str | None = None) -> DataFrame:
+    """One row (folder, modified): the newest export folder whose name contains ``preferred``, else the newest one.
+
+    An export is a folder of as many files as its writer's tasks made; it is as new as its newest file.
+    """
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    exports = files.groupBy(folder.alias("folder")).agg(F.max("modified").alias("modified"))
+    name = F.element_at(F.split("folder", "/"), -1)
+    return preferred_file(exports.select("*", name.alias("name"), F.col("folder").alias("path")), preferred).select("folder", "modified")
+
+
 def on_date(df: DataFrame, ingest_date: str) -> DataFrame:
     """One ingest date; prunes folders."""
     return df.filter(F.col("ingest_date") == F.lit(ingest_date).cast("date"))
@@ -188,30 +200,28 @@ def read_pages(spark: SparkSession, path: str, schema: str, whole_files: bool =
     return spark.read.schema(schema).option("multiLine", whole_files).json(path)
 
 
-def _csv(spark: SparkSession, line_breaks: bool):
+def _csv(spark: SparkSession):
     """A reader of header CSV whose quotes are doubled inside quoted cells.
 
-    Cells may hold line breaks unless ``line_breaks`` is off; such files are not split.  A
-    file whose header differs from the columns asked for fails the job.
+    Cells may hold line breaks, so files are not split.  A file whose header differs from the columns asked for fails
+    the job.
     """
-    return (
-        spark.read.option("header", True).option("escape", '"')
-        .option("multiLine", line_breaks).option("enforceSchema", False)
-    )
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", True).option("enforceSchema", False)
 
 
-def read_csv_strings(
-    spark: SparkSession, path: str, columns: Sequence[str] | None = None, line_breaks: bool = True
-) -> DataFrame:
+def read_csv_strings(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Header CSV with every column as text; missing-value spellings become null."""
-    df = _csv(spark, line_breaks).csv(path)
+    df = _csv(spark).csv(path)
     wanted = df.columns if columns is None else [c for c in columns if c in df.columns]
     return df.select(*[_na_to_null(c) for c in wanted])
 
 
+def _no_value(cell: Column) -> Column:
+    return F.when(~cell.isin(*values.CSV_NA_TOKENS), cell)
+
+
 def _na_to_null(name: str) -> Column:
-    c = F.col(f"`{name}`")
-    return F.when(~c.isin(*values.CSV_NA_TOKENS), c).alias(name)
+    return _no_value(F.col(f"`{name}`")).alias(name)
 
 
 def read_csv_export(
@@ -219,17 +229,31 @@ def read_csv_export(
     path: str,
     columns: Sequence[str] | None = None,
     ingest_date: str | None = None,
-    line_breaks: bool = True,
+    whole_files: bool = False,
 ) -> DataFrame:
-    """``read_csv_strings`` plus the file-order columns (page is null).
+    """``read_csv_strings`` plus the file-order columns (page is null), each file read by as many tasks as its size asks for.
 
-    Every landing is read under its own header, so columns may move, come and go from
-    one to the next.  Landings with one header share a scan; headers are read on the
-    driver, a line of one file each.
+    Cells may hold line breaks.  Every landing is read under its own header, so columns may move, come and go from one
+    to the next; files of one landing with different headers stop the job.  A first pass over all files finds headers
+    and the states of the splits.  Exports with stray quotes, and all with ``whole_files``, are read a file per task.
     """
+    split_csv.pin_splits(spark)
+    lines = _landed(spark.read.text(path, lineSep="\n"), ingest_date).select("ingest_date", "landing", *_place(), "value")
+    splits = None if whole_files else split_csv.splits_of(lines)
+    if splits is None or splits.stray:
+        return _whole_exports(spark, path, columns, ingest_date)
+    rows = split_csv.parsed(split_csv.records(lines, splits), splits.headers)
+    order = ["ingest_date", "landing", "page", "file_path", "block_start", F.col("line").alias("position")]
+    return rows.select(*order, *split_csv.cells(rows, splits.headers, columns, _no_value))
+
+
+def _whole_exports(
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, ingest_date: str | None = None
+) -> DataFrame:
+    """Exports read a file per task: landings with one header share a scan."""
     days = [f"ingest_date={ingest_date}"] if ingest_date else folders(spark, path)
     places = [f"{path}/{d}/{n}".rstrip("/") for d in days for n in folders(spark, f"{path}/{d}") or [""]]
-    reader = _csv(spark, line_breaks)
+    reader = _csv(spark)
     by_header: dict[tuple[str, ...], list[str]] = {}
     for place in places or [path]:
         by_header.setdefault(tuple(reader.csv(place).columns), []).append(place)

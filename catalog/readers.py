@@ -33,6 +33,34 @@ def src_csv_quoting(t: Tables):
     return bronze.read_csv_export(t.spark, path, ["id", "name", "nation"]).select("id", "name", "nation")
 
 
+@query(
+    "src_csv_split_quoted",
+    f"""SELECT CAST(c_custkey AS VARCHAR) AS id, CASE WHEN c_custkey % 7 > 0 THEN {NAME} END AS name,
+     CAST(c_nationkey AS VARCHAR) AS nation, true AS many_splits FROM customer""",
+)
+def src_csv_split_quoted(t: Tables):
+    """An export whose cells hold quotes and line breaks; every file is read in splits of a few kilobytes."""
+    path, out = scratch_path(t.spark, "quoted"), scratch_path(t.spark, "read")
+    name = F.concat("c_name", F.lit(' "A", Lee\nCo. \\'), F.col("c_custkey").cast("string"))
+    export = t.customer.select(
+        F.lit(AS_OF).alias("ingest_date"), F.col("c_custkey").alias("id"),
+        F.when(F.col("c_custkey") % 7 > 0, name).otherwise("N/A").alias("name"), F.col("c_nationkey").alias("nation"),
+    )
+    bronze.land_csv(export, path)
+    small = {"spark.sql.files.maxPartitionBytes": "2k", "spark.sql.files.openCostInBytes": "1"}
+    old = {k: t.spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            t.spark.conf.set(k, v)
+        bronze.read_csv_export(t.spark, path, ["id", "name", "nation"]).write.parquet(out)
+    finally:
+        for k, v in old.items():
+            t.spark.conf.set(k, v)
+    read = t.spark.read.parquet(out)
+    many = read.agg(F.count_distinct("file_path", "block_start") > F.count_distinct("file_path")).scalar()
+    return read.select("id", "name", "nation", many.alias("many_splits"))
+
+
 @query(
     "src_csv_header_change",
     f"""SELECT transaction_id, account, CASE WHEN year(paid_time) % 3 < 2 THEN payment_status END AS status,
@@ -110,13 +138,10 @@ def src_preferred_file(t: Tables):
         F.when(F.col("event_id") % 2 == 0, "daily").otherwise("extra").alias("kind"),
         F.col("ts").cast("date").alias("day"), "event_id", "event_type",
     )
-    newest = events.where("kind = 'daily'").agg(F.max("day").cast("string")).first()[0]
-    for kind in ("daily", "extra"):
-        for label, part in (("old", F.col("day") < newest), ("new", F.col("day") >= newest)):
-            rows = events.where((F.col("kind") == kind) & part).select("day", "event_id", "event_type")
-            rows.coalesce(1).write.parquet(f"{path}/export={label}-{kind}")
-    files = bronze.list_files(t.spark, path, "*.parquet").withColumn("name", F.col("path"))
-    chosen = bronze.preferred_file(files, "new-daily").first()["path"]
+    newest = events.where("kind = 'daily'").agg(F.max("day")).scalar()
+    age = F.when(F.col("day") < newest, "old").otherwise("new")
+    events.withColumn("export", F.concat_ws("-", age, "kind")).drop("kind").write.partitionBy("export").parquet(path)
+    chosen = bronze.preferred_export(bronze.list_files(t.spark, path, "*.parquet"), "new-daily").first()["folder"]
     return present(t.spark.read.parquet(chosen).where(F.col("day") == newest).select("event_id", "event_type", "day"))
 
 
