@@ -117,3 +117,27 @@ def insert_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str], orde
     """The batch rows to append: the first row of every key the target lacks."""
     fresh = keep_first(batch, keys, order)
     return fresh.join(target.select(*keys), list(keys), "left_anti")
+
+
+def fold_states(df: DataFrame, keys: Sequence[str], sticky: Sequence[str], mutable: Sequence[str]) -> DataFrame:
+    """One row per key that can be folded again, from rows with the places ``_first_at`` and ``_last_at``.
+
+    ``_first`` holds the ``sticky`` columns of the first version, ``_last`` the ``mutable`` ones of the last.
+    """
+    return df.groupBy(*keys).agg(
+        F.min_by(F.struct(*sticky) if sticky else F.lit(None), "_first_at").alias("_first"),
+        F.max_by(F.struct(*mutable) if mutable else F.lit(None), "_last_at").alias("_last"),
+        F.min("_first_at").alias("_first_at"),
+        F.max("_last_at").alias("_last_at"),
+    )
+
+
+def flat_states(df: DataFrame, keys: Sequence[str], sticky: Sequence[str], mutable: Sequence[str]) -> DataFrame:
+    """States with their columns side by side."""
+    return df.select(
+        *keys,
+        *[F.col(f"_first.{c}").alias(c) for c in sticky],
+        *[F.col(f"_last.{c}").alias(c) for c in mutable],
+        "_first_at",
+        "_last_at",
+    )

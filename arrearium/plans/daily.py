@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 
 from arrearium.operators.fold import fold_versions, upsert_touched
 from arrearium.operators.slices import replace_slice
+from arrearium.operators.versioned import BucketTable, Merged
 from arrearium.plans.contracts import b_financials, unified_contracts
 from arrearium.plans.snapshots import daily_snapshot
 from arrearium.rules import PortfolioRules
 from arrearium.session import scratch_path
 from arrearium.sources import bronze
 from arrearium.sources.ingest import append_ledger, ledger_row
-from arrearium.sources.specs import A_ASSETS, A_CONTRACTS, A_PAYMENTS, EntitySpec
+from arrearium.sources.specs import (
+    A_ASSETS, A_CONTRACTS, A_PAYMENTS, B_ASSET_MAP, B_CONTRACTS, B_LEASE_LEDGER, B_PAYMENTS, B_PRODUCTS, EntitySpec,
+)
 
 
 def refresh_silver(
@@ -57,31 +60,59 @@ def refresh_silver(
     return spark.read.parquet(out_path)
 
 
+def refresh_table(
+    spark: SparkSession, spec: EntitySpec, bronze_path: str, table: BucketTable, upto: str | None = None
+) -> Merged | None:
+    """Fold every landing into a silver table that its newest version does not hold yet; None if there is none.
+
+    The versions know the landings they were made from, so a day whose job failed, a day that landed late and a landing
+    that grew are read by the next run, whatever its date.  Items take their place by date, landing and position: a late
+    old item does not override a newer one.  Landings after ``upto`` wait.
+    """
+    held = table.manifest().sources
+    found = {place: size for place, size in bronze.landings(spark, bronze_path).items() if held.get(place) != size}
+    if upto is not None:
+        found = {place: size for place, size in found.items() if place.split("/")[0].removeprefix("ingest_date=") <= upto}
+    if not found:
+        return None
+    read = bronze.read_items if spec.raw_schema is not None else bronze.read_csv_export
+    rows = spec.batch_rows(spec.rows(read(spark, bronze_path, only=sorted(found))))
+    times = F.col("ingest_date").cast("timestamp")
+    rows = rows.withColumns({"loaded_at": times, "updated_at": times})
+    changing = [c for c in spec.changing(rows) if c not in ("loaded_at", "updated_at")] + ["updated_at"]
+    return table.merge(rows, changing, [c for c in bronze.ITEM_ORDER if c in rows.columns], found)
+
+
 def run_daily(
     spark: SparkSession,
     bronze_root: str,
     silver_root: str,
     snapshot_path: str,
     ledger_path: str,
-    b_contracts: DataFrame,
-    b_payments: DataFrame,
-    asset_map: DataFrame,
-    lease_ledger: DataFrame,
-    products: DataFrame,
+    b_contracts: DataFrame | None,
+    b_payments: DataFrame | None,
+    asset_map: DataFrame | None,
+    lease_ledger: DataFrame | None,
+    products: DataFrame | None,
     excluded: DataFrame,
     paid_off: DataFrame,
     as_of: date,
     rules: PortfolioRules,
-    previous_silver_root: str | None = None,
     entities: tuple[EntitySpec, ...] = (A_CONTRACTS, A_PAYMENTS, A_ASSETS),
 ) -> DataFrame:
     """One day, in order; the first failure ends the run.  Returns the day's snapshot.
 
-    Each entity and the snapshot get a row in the ledger, also the one that fails, so an
-    entity's watermark moves with its own success only.  A day can be run again.
+    Silver tables live below ``silver_root`` from day to day, a version for each run that finds new landings.  A table of
+    system B that is None is refreshed from its landed exports like the entities.  Each entity and the snapshot get a row
+    in the ledger with the rows landed, also the one that fails, so an entity's watermark moves with its own success
+    only.  A day can be run again.
     """
     day = as_of.isoformat()
     run_at = datetime(as_of.year, as_of.month, as_of.day)
+    given = [
+        (B_CONTRACTS, b_contracts), (B_PAYMENTS, b_payments), (B_ASSET_MAP, asset_map), (B_LEASE_LEDGER, lease_ledger),
+        (B_PRODUCTS, products),
+    ]
 
     def step(source: str, entity: str, path: str, work: Callable[[], int]) -> None:
         started = monotonic()
@@ -100,28 +131,23 @@ def run_daily(
             raise
         log("success", rows)
 
-    silver: dict[str, DataFrame] = {}
+    silver = {spec.name: table for spec, table in given if table is not None}
 
     def refresh(spec: EntitySpec) -> int:
         source, name = spec.name.split("_", 1)
-        silver[spec.name] = refresh_silver(
-            spark,
-            spec,
-            bronze.entity_path(bronze_root, source, name),
-            f"{silver_root}/{spec.name}",
-            f"{previous_silver_root}/{spec.name}" if previous_silver_root else None,
-            day,
-        )
-        return silver[spec.name].count()
+        table = BucketTable(spark, f"{silver_root}/{spec.name}", spec.keys)
+        done = refresh_table(spark, spec, bronze.entity_path(bronze_root, source, name), table, day)
+        silver[spec.name] = table.read()
+        return done.rows if done else 0
 
     def snapshot() -> int:
         # Stored once for the snapshot and for whoever reports on the day.
         unified_contracts(
             silver["a_contracts"],
             silver["a_assets"],
-            b_contracts,
-            b_financials(b_payments, asset_map, lease_ledger),
-            products,
+            silver["b_contracts"],
+            b_financials(silver["b_payments"], silver["b_asset_map"], silver["b_lease_ledger"]),
+            silver["b_products"],
             excluded,
             paid_off,
             rules,
@@ -130,7 +156,7 @@ def run_daily(
         contracts = spark.read.parquet(f"{silver_root}/unified_contracts")
         return replace_slice(daily_snapshot(contracts, as_of), snapshot_path, "snapshot_date", day)
 
-    for spec in entities:
+    for spec in (*entities, *(spec for spec, table in given if table is None)):
         step(spec.name.split("_", 1)[0], spec.name, f"{silver_root}/{spec.name}", lambda spec=spec: refresh(spec))
     step("gold", "unified_snapshot", snapshot_path, snapshot)
     snapshots = spark.read.parquet(snapshot_path)

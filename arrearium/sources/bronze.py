@@ -51,6 +51,17 @@ def next_landing(spark: SparkSession, path: str, ingest_date: str) -> int:
     return max(numbers, default=-1) + 1
 
 
+def landings(spark: SparkSession, path: str) -> dict[str, int]:
+    """Every landing of an entity and its bytes, by its folder below ``path``; no file is read."""
+    out = {}
+    for day in folders(spark, path):
+        for name in folders(spark, f"{path}/{day}") or [""]:
+            place = f"{day}/{name}".rstrip("/")
+            where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{place}")
+            out[place] = where.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
+    return out
+
+
 # ---- file choice ---------------------------------------------------------------
 
 
@@ -145,9 +156,18 @@ def _is_unreadable(value: Column) -> Column:
     return F.try_parse_json(value).isNull() | ~starts
 
 
-def _lines(spark: SparkSession, path: str, whole_files: bool, ingest_date: str | None) -> DataFrame:
+def _texts(spark: SparkSession, path: str, only: Sequence[str] | None, **options) -> DataFrame:
+    """Lines of all landings, or of those whose folders are given."""
+    if only is None:
+        return spark.read.text(path, **options)
+    return spark.read.option("basePath", path).text([f"{path}/{place}" for place in only], **options)
+
+
+def _lines(
+    spark: SparkSession, path: str, whole_files: bool, ingest_date: str | None, only: Sequence[str] | None = None
+) -> DataFrame:
     """Landed lines that hold something."""
-    return _landed(spark.read.text(path, wholetext=whole_files), ingest_date).where(F.trim("value") != "")
+    return _landed(_texts(spark, path, only, wholetext=whole_files), ingest_date).where(F.trim("value") != "")
 
 
 def read_items(
@@ -156,18 +176,19 @@ def read_items(
     whole_files: bool = False,
     ingest_date: str | None = None,
     skip_unreadable: bool = False,
+    only: Sequence[str] | None = None,
 ) -> DataFrame:
     """Raw items as JSON text in ``raw``, one row per item.
 
     A line is one object or one page (an array of objects).  ``whole_files=True`` reads
     files that hold one pretty-printed page each.  Adds the columns of ``ITEM_ORDER``:
     a total order in which later items override earlier ones.  With ``ingest_date`` only
-    that day's folder is read.
+    that day's folder is read, with ``only`` the landings of these folders.
 
     A line that cannot be read fails the job.  With ``skip_unreadable`` the readable
     lines are handed out; ``read_rejects`` hands out the others.
     """
-    lines = _lines(spark, path, whole_files, ingest_date)
+    lines = _lines(spark, path, whole_files, ingest_date, only)
     bad = _is_unreadable(F.col("value"))
     if skip_unreadable:
         lines = lines.where(~bad)
@@ -230,29 +251,32 @@ def read_csv_export(
     columns: Sequence[str] | None = None,
     ingest_date: str | None = None,
     whole_files: bool = False,
+    only: Sequence[str] | None = None,
 ) -> DataFrame:
     """``read_csv_strings`` plus the file-order columns (page is null), each file read by as many tasks as its size asks for.
 
     Cells may hold line breaks.  Every landing is read under its own header, so columns may move, come and go from one
     to the next; files of one landing with different headers stop the job.  A first pass over all files finds headers
     and the states of the splits.  Exports with stray quotes, and all with ``whole_files``, are read a file per task.
+    With ``only`` the landings of these folders are read.
     """
     split_csv.pin_splits(spark)
-    lines = _landed(spark.read.text(path, lineSep="\n"), ingest_date).select("ingest_date", "landing", *_place(), "value")
+    lines = _landed(_texts(spark, path, only, lineSep="\n"), ingest_date).select("ingest_date", "landing", *_place(), "value")
     splits = None if whole_files else split_csv.splits_of(lines)
     if splits is None or splits.stray:
-        return _whole_exports(spark, path, columns, ingest_date)
+        return _whole_exports(spark, path, columns, ingest_date, only)
     rows = split_csv.parsed(split_csv.records(lines, splits), splits.headers)
     order = ["ingest_date", "landing", "page", "file_path", "block_start", F.col("line").alias("position")]
     return rows.select(*order, *split_csv.cells(rows, splits.headers, columns, _no_value))
 
 
 def _whole_exports(
-    spark: SparkSession, path: str, columns: Sequence[str] | None = None, ingest_date: str | None = None
+    spark: SparkSession, path: str, columns: Sequence[str] | None, ingest_date: str | None, only: Sequence[str] | None
 ) -> DataFrame:
     """Exports read a file per task: landings with one header share a scan."""
     days = [f"ingest_date={ingest_date}"] if ingest_date else folders(spark, path)
     places = [f"{path}/{d}/{n}".rstrip("/") for d in days for n in folders(spark, f"{path}/{d}") or [""]]
+    places = places if only is None else [f"{path}/{place}" for place in only]
     reader = _csv(spark)
     by_header: dict[tuple[str, ...], list[str]] = {}
     for place in places or [path]:

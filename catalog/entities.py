@@ -10,7 +10,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrearium.plans.daily import refresh_silver
+from arrearium.operators.versioned import BucketTable
+from arrearium.plans.daily import refresh_silver, refresh_table
 from arrearium.session import scratch_path
 from arrearium.sources import bronze
 from arrearium.sources.specs import SPECS
@@ -218,3 +219,74 @@ def silver_b_lease_ledger(t: Tables):
 
     got = _silver(t, "b_lease_ledger", "k", raw(price), raw(price * 2))
     return present(got.select("contract_ogc", "posting_date", "ending_principal", F.col("period").cast("int")))
+
+
+def _contact(t: Tables, status: str, mobile: Column, name: Column, day: date) -> DataFrame:
+    return t.customer.select(
+        F.col("c_custkey").alias("k"), F.lit(day).alias("ingest_date"), F.col("c_custkey").alias("clientNumber"),
+        F.lit(status).alias("status"), F.struct(mobile.alias("mobile")).alias("contact"),
+        F.struct(name.alias("firstName"), F.col("c_nationkey").alias("region")).alias("profile"),
+    )
+
+
+@query(
+    "silver_buckets",
+    f"""SELECT CAST(c_custkey AS VARCHAR) AS client_number, CASE WHEN c_custkey < 5 THEN 'CLOSED' ELSE 'OPEN' END AS status,
+     c_name AS first_name, CASE WHEN c_custkey < 5 THEN '2001-08-31' ELSE '2001-08-30' END AS updated,
+     true AS few_buckets, true AS less_written FROM customer""",
+)
+def silver_buckets(t: Tables):
+    """Day two changes five clients: at most five buckets are written, the others stay with version one."""
+    spec, root = SPECS["a_clients"], scratch_path(t.spark, "clients")
+    table = BucketTable(t.spark, f"{root}/silver", spec.keys)
+    for day, status, part, name in ((DAYS[0], "OPEN", F.lit(True), F.col("c_name")), (DAYS[1], "CLOSED", F.col("k") < 5, F.lit("other"))):
+        bronze.land_items(_contact(t, status, F.lit("m"), name, day).where(part).drop("k"), f"{root}/bronze")
+        refresh_table(t.spark, spec, f"{root}/bronze", table)
+    held = list(table.manifest().holder.values())
+    got = table.read().select("client_number", "status", "first_name", F.col("updated_at").cast("date").alias("updated"))
+    return present(
+        got.select("*", F.lit(held.count(2) <= 5).alias("few_buckets"), F.lit(table.bytes_of(2) < table.bytes_of(1)).alias("less_written"))
+    )
+
+
+@query(
+    "daily_missed_day",
+    """SELECT CAST(c_custkey AS VARCHAR) AS client_number,
+     CASE WHEN c_custkey % 5 = 0 THEN 'D3' WHEN c_custkey % 3 = 0 THEN 'D2' WHEN c_custkey % 2 = 0 THEN 'D1b' ELSE 'D1' END AS status,
+     CASE WHEN c_custkey % 7 = 0 THEN 'late' ELSE c_name END AS first_name,
+     CASE WHEN c_custkey % 7 = 0 THEN '2001-08-28' ELSE '2001-08-29' END AS loaded, 4 AS versions, 6 AS landings FROM customer""",
+)
+def daily_missed_day(t: Tables):
+    """The job of the second day fails, a day lands late, an old day lands again, and a run finds nothing new.
+
+    The third day's run reads the second day's items too.  The late day is older than all: it brings the first version of
+    its clients and overrides nothing.
+    """
+    spec, root = SPECS["a_clients"], scratch_path(t.spark, "clients")
+    table = BucketTable(t.spark, f"{root}/silver", spec.keys, buckets=16)
+    days = [date(2001, 8, d) for d in (28, 29, 30, 31)]
+
+    def land(day: date, status: str, part: Column, name: Column, landing: int = 0) -> None:
+        bronze.land_items(_contact(t, status, F.lit("m"), name, day).where(part).drop("k"), f"{root}/bronze", landing)
+
+    def run(day: date) -> None:
+        refresh_table(t.spark, spec, f"{root}/bronze", table, day.isoformat())
+
+    land(days[1], "D1", F.lit(True), F.col("c_name"))
+    run(days[1])
+    land(days[2], "D2", F.col("k") % 3 == 0, F.lit("other"))  # its job does not run
+    land(days[3], "D3", F.col("k") % 5 == 0, F.lit("other"))
+    run(days[3])
+    land(days[0], "late", F.col("k") % 7 == 0, F.lit("late"))
+    land(days[1], "D1b", F.col("k") % 2 == 0, F.lit("other"), 1)
+    run(days[3])
+    run(days[3])
+    land(days[2], "D2", (F.col("k") % 3 == 0) & (F.col("k") % 4 == 0), F.lit("other"), 1)
+    run(days[3])
+    run(days[3])
+    m = table.manifest()
+    got = table.read().select(
+        "client_number", "status", "first_name", F.col("loaded_at").cast("date").alias("loaded"),
+        F.lit(m.version).alias("versions"), F.lit(len(m.sources)).alias("landings"),
+    )
+    return present(got)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Observation
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from arrearium.plans import daily
@@ -285,7 +285,7 @@ def daily_medallion(t: Tables):
     for name, raw in (("contracts", raw_contracts(t)), ("payments", raw_payments(t)), ("assets", raw_assets(t))):
         bronze.land_items(raw, bronze.entity_path(f"{root}/bronze", "a", name))
     snapshot = daily.run_daily(
-        t.spark, f"{root}/bronze", f"{root}/silver/1", f"{root}/snapshots", f"{root}/ledger",
+        t.spark, f"{root}/bronze", f"{root}/silver", f"{root}/snapshots", f"{root}/ledger",
         t.b_contracts, t.b_payments, t.fx_asset_map, t.b_ledger, t.b_products, t.fx_exclusions, t.b_paid_off,
         AS_OF, RULES,
     )
@@ -307,16 +307,55 @@ def daily_rerun(t: Tables):
             rows = raw.where(part).withColumn("ingest_date", F.lit(day))
             bronze.land_items(rows, bronze.entity_path(f"{root}/bronze", "a", name))
 
-    def run(day: date, previous: str | None):
+    def run(day: date):
         return daily.run_daily(
-            t.spark, f"{root}/bronze", f"{root}/silver/{day}", f"{root}/snapshots", f"{root}/ledger",
+            t.spark, f"{root}/bronze", f"{root}/silver", f"{root}/snapshots", f"{root}/ledger",
             t.b_contracts, t.b_payments, t.fx_asset_map, t.b_ledger, t.b_products, t.fx_exclusions, t.b_paid_off,
-            day, RULES, previous,
+            day, RULES,
         )
 
     land(F.col("status").isNotNull() & (F.length("status") % 2 == 0), first)
-    run(first, None)
+    run(first)
     land(F.lit(True), AS_OF)
     for _ in range(2):
-        snapshot = run(AS_OF, f"{root}/silver/{first}")
+        snapshot = run(AS_OF)
+    return present(snapshot)
+
+
+def _exports(t: Tables) -> dict[str, DataFrame]:
+    """The tables of system B as their exports write them."""
+    def texts(df: DataFrame, names: dict[str, str]) -> DataFrame:
+        return df.select(F.lit(AS_OF).alias("ingest_date"), *[F.col(c).cast("string").alias(header) for c, header in names.items()])
+
+    same = ("customer_id", "customer_name", "status", "region", "district", "ward", "financial_type", "unlocked_until", "paid_at", "activated_at", "removed_at", "installed_by")
+    products = {"installation_id": "contract_number"} | {c: c for c in ("asset_number", "product_name", "deal_type", "total_contract_value", "upfront_payment", "monthly_payment")}
+    ledger = {
+        "contract_ogc": "Contract", "installation_id": "Installation Id", "posting_date": "Posting Date",
+        "total_cash_collected": "Total Cash Collected from Customer", "ending_principal": "Ending Balance Principal",
+    }
+    return {
+        "contracts": texts(t.b_contracts, {"installation_id": "id"} | {c: c for c in same}),
+        "payments": texts(t.b_payments, {"transaction_id": "ID", "paid_time": "Paid Time", "payment_status": "Payment Status", "account": "Account", "amount": "Amount"}),
+        "asset_map": texts(t.fx_asset_map, {"asset_number": "asset_number", "installation_id": "contract_number"}),
+        "lease_ledger": texts(t.b_ledger, ledger),
+        "products": texts(t.b_products, products),
+    }
+
+
+@query(
+    "daily_both_systems",
+    f"""SELECT '2001-08-31' AS snapshot_date, {SNAP} FROM g1 WHERE contract_status <> 'CANCELLED'
+     AND contract_number NOT IN (SELECT installation_id FROM b_contracts WHERE activated_at IS NULL)""",
+)
+def daily_both_systems(t: Tables):
+    """The daily job from landed pages of system A and landed exports of system B, which leave out what was never activated."""
+    root = scratch_path(t.spark, "lake")
+    for name, raw in (("contracts", raw_contracts(t)), ("payments", raw_payments(t)), ("assets", raw_assets(t))):
+        bronze.land_items(raw, bronze.entity_path(f"{root}/bronze", "a", name))
+    for name, raw in _exports(t).items():
+        bronze.land_csv(raw, bronze.entity_path(f"{root}/bronze", "b", name))
+    snapshot = daily.run_daily(
+        t.spark, f"{root}/bronze", f"{root}/silver", f"{root}/snapshots", f"{root}/ledger", None, None, None, None, None,
+        t.fx_exclusions, t.b_paid_off, AS_OF, RULES,
+    )
     return present(snapshot)
