@@ -194,3 +194,93 @@ def test_a_passage_in_pieces_behind_a_long_one(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted((r.first_word, r.end_word, r.n_matched) for r in chaining.repeated_passages(df).collect())
     assert got == [(0, 400, 400), (460, 562, 90)]
+
+
+def changed(text, share, seed):
+    r = random.Random(seed)
+    return [w if r.random() >= share else f"new{seed}x{k}" for k, w in enumerate(text)]
+
+
+@pytest.mark.parametrize("block_bytes", [24_000_000, 3000])
+def test_similar_copies_whose_seeds_occur_first_in_pieces(spark, block_bytes):
+    """Docs 1 to 3 hold parts of a passage of 90 words, doc 4 all of it, doc 5 all of it with 6 words changed."""
+    rows, want = [], set()
+    for case in range(6):
+        p = prose(900 + case, 90).split(" ")
+        copy = list(p)
+        for k in random.Random(case).sample(range(90), 6):
+            copy[k] = f"other{k}"
+        for k, w in enumerate((p[:32], p[28:62], p[58:], p, copy)):
+            rows.append((10 * case + k, " ".join([prose(5000 + 10 * case + k, 40), *w, prose(6000 + 10 * case + k, 30)])))
+        want.add((10 * case + 4, 10 * case + 3))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.other_id) for r in chaining.repeated_passages(df, block_bytes=block_bytes).collect()}
+    assert want <= got and all(a // 10 == b // 10 for a, b in got)
+
+
+@pytest.mark.parametrize("block_bytes", [24_000_000, 6000])
+def test_drifting_copies_are_linked_step_by_step(spark, block_bytes):
+    """Every copy changes 10 % of the words of the one before."""
+    now, rows = prose(1234, 120).split(" "), []
+    for i in range(60):
+        rows.append((i, " ".join([prose(7000 + i, 30), *now, prose(8000 + i, 30)])))
+        now = changed(now, 0.1, i)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id for r in chaining.repeated_passages(df, block_bytes=block_bytes).collect()}
+    assert len(got) >= 0.9 * 59
+
+
+def plain_similar(texts, least=45, identity=0.8):
+    """Documents with a stretch that an earlier one has too, by aligning all pairs on each shared word of both."""
+    out = set()
+    for i in sorted(texts):
+        for j in sorted(texts):
+            if j >= i or i in out:
+                continue
+            a, b = texts[i], texts[j]
+            places = {}
+            for k in range(len(b) - 4):
+                places.setdefault(tuple(b[k : k + 5]), []).append(k)
+            for shift in {k - m for m in range(len(a) - 4) for k in places.get(tuple(a[m : m + 5]), ())}:
+                same = np.array([0 <= m + shift < len(b) and a[m] == b[m + shift] for m in range(len(a))])
+                run = np.convolve(same, np.ones(least), "valid") if len(a) >= least else np.zeros(0)
+                if (run >= identity * least + 1).any():
+                    out.add(i)
+    return out
+
+
+@pytest.mark.parametrize("block_bytes", [24_000_000, 20_000])
+def test_recall_of_similar_passages(spark, block_bytes):
+    """Passages at random places, changed at up to 12 % of the words, some in many documents, some in pieces elsewhere."""
+    r = random.Random(77)
+    stock = [prose(9100 + k, r.randint(60, 140)).split(" ") for k in range(12)]
+    texts = {}
+    for i in range(150):
+        parts = [prose(9500 + i, r.randint(20, 80)).split(" ")]
+        for _ in range(r.choice([0, 1, 1, 2])):
+            p = r.choice(stock)
+            low = r.randrange(len(p) - 20)
+            p = r.choice([p, p, p[low : low + 30]])
+            parts += [changed(p, r.choice([0, 0.03, 0.08, 0.12]), 100 * i), prose(9700 + i, r.randint(10, 40)).split(" ")]
+        texts[i] = [w for p in parts for w in p]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
+    found = chaining.repeated_passages(df, block_bytes=block_bytes).collect()
+    got, want = {x.doc_id for x in found}, plain_similar(texts)
+    assert len(want) > 40 and len(got & want) >= 0.95 * len(want)
+    for x in found:
+        assert x.n_matched >= 0.8 * (x.end_word - x.first_word) and x.end_word - x.first_word >= 45
+
+
+def test_tree_of_ends():
+    r = random.Random(2)
+    tree, own = chaining._Fenwick(37), {}
+    for _ in range(3000):
+        at = r.randint(1, 37)
+        if at in own:
+            tree.drop(at)
+            del own[at]
+        else:
+            own[at] = (r.choice([1.0, 2.0, r.random()]), at)
+            tree.put(at, own[at])
+        low, high = r.randint(1, 37), r.randint(0, 37)
+        assert tree.most(low, high) == max([own[k] for k in range(low, high + 1) if k in own], default=chaining._NOTHING)
