@@ -164,12 +164,15 @@ def _prefix(values: Column) -> Column:
 
 
 def shuffled(rows: DataFrame, shards: int = SHARDS, seed: int = 17, piece_rows: int = PIECE_ROWS) -> DataFrame:
-    """All rows with ``shard`` and ``slot``; ``rows`` must not have the columns part_, key_ and rank_.
+    """All rows with ``shard`` and ``slot``; own columns of these names are called ``own_shard`` and ``own_slot`` then.
 
     The rows are stored once with their part and a random key, so every later step sees the same draw however
     often a task runs.  Parts are cut so that none exceeds ``piece_rows`` by much; slots are dealt in pieces of a
     shard, so no task ever holds a whole shard.
     """
+    # A row is carried as one value, so its columns may have any names.
+    rows = rows.withColumnsRenamed({c: f"own_{c}" for c in ("shard", "slot") if c in rows.columns})
+    rows = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"))
     own, low_bits = rows.columns, F.lit((1 << 33) - 1)
     # A task's rows in runs: (task, run) is a part.  Each task permutes its runs itself, before anything is exchanged.
     drawn = rows.select("*", F.monotonically_increasing_id().alias("at_"), F.rand(seed).alias("key_")).select(
@@ -218,7 +221,8 @@ def shuffled(rows: DataFrame, shards: int = SHARDS, seed: int = 17, piece_rows:
     else:
         sent = sent.withColumn("base_", F.lit(0))
     final = Window.partitionBy("shard", "piece_").orderBy("key_", *[F.xxhash64(c) for c in own])
-    return sent.select(*own, "shard", (F.row_number().over(final) - 1 + F.col("base_")).cast("long").alias("slot"))
+    slot = (F.row_number().over(final) - 1 + F.col("base_")).cast("long").alias("slot")
+    return sent.select("row", "shard", slot).select("row.*", "shard", "slot")
 
 
 def written(rows: DataFrame, shards: int = SHARDS, seed: int = 17, piece_rows: int = PIECE_ROWS) -> DataFrame:
@@ -226,7 +230,7 @@ def written(rows: DataFrame, shards: int = SHARDS, seed: int = 17, piece_rows: i
     spark = rows.sparkSession
     out, path = shuffled(rows, shards, seed, piece_rows), scratch_path(spark, "shard-files")
     out.write.option("compression", "zstd").partitionBy("shard").parquet(path)
-    return spark.read.schema(out.schema).parquet(path).select(*out.columns)
+    return spark.read.schema(out.schema).parquet(path).select(*[F.col(f"`{c}`") for c in out.columns])
 
 
 def digest(docs: DataFrame, id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
