@@ -11,9 +11,12 @@
 
 Words here are runs of letters and digits with ASCII letters in lower case; everything outside ASCII is a letter.
 
-Defined results: a null text, or an item without words, matches nothing; an item of less than ``LEAST_WORDS`` words
-must occur as one run; items repeated under one id give a row each only once; a null id is kept; an empty corpus or
-benchmark gives no rows.
+Items of less than ``LEAST_WORDS`` words say little in the latent space: they must occur as one run, which is looked for
+by the hashes of all runs of their length; their cosine is that of equal words, 1.
+
+Defined results: a null text, or an item without words, matches nothing; items repeated under one id give a row each only
+once; a null id is kept; an empty corpus or benchmark gives no rows; texts of any length are read whole; other columns are
+not looked at.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrearium.llm.common import chunks, texts_of, words_of
+from arrearium.llm.common import chunks, run_hash, texts_of, words_of
 
 #: Hashed words, latent dimensions, words in a passage and in a unit of a window.
 FEATURES, DIMENSIONS, PASSAGE, UNIT = 1 << 14, 48, 64, 8
@@ -154,7 +157,10 @@ def latent_space(docs: DataFrame, text: str, seed: int = 23, dimensions: int = D
 
 @dataclass
 class Items:
-    """A block of benchmark items: ids, word hashes, answers, and unit vectors by window length."""
+    """A block of benchmark items: ids, word hashes, answers, and unit vectors by window length.
+
+    ``short`` has those of less than LEAST_WORDS words by their number of words: hashes of the whole runs, and items.
+    """
 
     ids: list[int | None]
     words: list[np.ndarray]
@@ -163,6 +169,7 @@ class Items:
     sizes: np.ndarray
     marks: np.ndarray
     by_units: dict[int, tuple[np.ndarray, np.ndarray]]
+    short: dict[int, tuple[np.ndarray, np.ndarray]]
 
 
 def _marks(h: np.ndarray, owner: np.ndarray, owners: int) -> np.ndarray:
@@ -189,7 +196,7 @@ def _prepared(rows: list[tuple[int | None, str | None]], space: np.ndarray) -> I
     answers = hashes([_answer(t or "") for _, t in rows])
     groups: dict[int, list[int]] = {}
     for i, w in enumerate(words):
-        if len(w):
+        if len(w) >= LEAST_WORDS:
             groups.setdefault(max(2, 2 * round(len(w) / UNIT / 2)), []).append(i)
     by_units = {}
     for units, members in groups.items():
@@ -200,7 +207,26 @@ def _prepared(rows: list[tuple[int | None, str | None]], space: np.ndarray) -> I
     flat = np.concatenate([*words, np.zeros(0, np.uint64)])
     marks = _marks(flat, np.repeat(np.arange(len(words)), sizes), len(words))
     sets = [frozenset(w.tolist()) for w in words]
-    return Items([i for i, _ in rows], words, answers, sets, sizes, marks, by_units)
+    short = {}
+    for n in range(1, LEAST_WORDS):
+        members = np.flatnonzero(sizes == n)
+        if len(members):
+            runs = np.concatenate([run_hash(words[i], n) for i in members])
+            order = np.argsort(runs, kind="stable")
+            short[n] = (runs[order], members[order])
+    return Items([i for i, _ in rows], words, answers, sets, sizes, marks, by_units, short)
+
+
+def _runs(items: Items, h: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(text, item) of short items that occur in a text."""
+    text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    for n, (runs, members) in items.short.items():
+        own = run_hash(h, n)
+        low, high = np.searchsorted(runs, own, "left"), np.searchsorted(runs, own, "right")
+        whole = text[: len(own)] == text[n - 1 :]
+        at = np.flatnonzero((high > low) & whole)
+        for t, a, b in set(zip(text[at].tolist(), low[at].tolist(), high[at].tolist(), strict=True)):
+            yield from ((t, int(i)) for i in members[a:b])
 
 
 def _run_in(part: np.ndarray, whole: np.ndarray) -> bool:
@@ -232,8 +258,6 @@ def _leak(item: np.ndarray, answer: np.ndarray, words: np.ndarray, verbatim: flo
     ``words`` may be several windows long, so the subsequence counts within stretches a little longer than the item.
     """
     n = len(item)
-    if n < LEAST_WORDS:
-        return n if _run_in(item, words) else 0
     reach, best = n + max(4, n // 4), 0
     for s in range(0, max(1, len(words) - reach + 1 + n // 4), max(1, n // 4)):
         best = max(best, common(item, words[s : s + reach + n // 4]))
@@ -298,7 +322,7 @@ def _candidates(space: np.ndarray, items: Items, h: np.ndarray, first: np.ndarra
 def _found(space: np.ndarray, items: Items, column: pa.Array, cosine: float, verbatim: float, paraphrase: float):
     """(row, item, words found, cosine) of all leaks of a column; of several in one row the longest."""
     for i, _, h, first in _words(column):
-        best: dict[tuple[int, int], tuple[int, float]] = {}
+        best = {(t + i, item): (len(items.words[item]), 1.0) for t, item in _runs(items, h, first)}
         for t, item, low, high, value in _candidates(space, items, h, first, cosine, min(verbatim, paraphrase)):
             # Distinct words that do not occur here are missing from any common subsequence.
             absent = len(items.sets[item].difference(h[low:high].tolist()))

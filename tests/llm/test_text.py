@@ -95,6 +95,22 @@ def test_shards_of_odd_rows(spark):
     assert sharding.shuffled(sharding.digest(none(spark)), 5).count() == 0
 
 
+def test_shards_with_clashing_columns(spark):
+    """Own columns with the names of the result and of every helper column are carried through."""
+    names = ["shard", "slot", "task_", "rank_", "key_", "limits_", "piece_", "run_", "at_", "part_", "base_", "row", "n_", "take", "node", "a.b"]
+    schema = "doc_id long, text string, " + ", ".join(f"`{n}` int" for n in names)
+    rows = [(i, None if i % 7 == 0 else "t" * i, *(i + k for k in range(len(names)))) for i in range(200)]
+    out = sharding.written(spark.createDataFrame(rows, schema).repartition(3), 6, piece_rows=20)
+    assert out.columns == ["doc_id", "text", "own_shard", "own_slot", *names[2:], "shard", "slot"]
+    got = out.collect()
+    assert sorted(tuple(r)[:-2] for r in got) == sorted(rows)
+    places = Counter((r[-2], r[-1]) for r in got)
+    assert set(places.values()) == {1} and {s for s, _ in places} == set(range(6))
+    whole = sharding.written(odd(spark), 4)
+    assert whole.columns == [*odd(spark).columns, "shard", "slot"] and whole.count() == len(odd_rows())
+    assert sharding.written(none(spark), 3).count() == 0
+
+
 def test_the_query_shuffles_and_writes_whole_documents(spark, documents, monkeypatch):
     from arrearium.llm import queries
 
@@ -259,6 +275,43 @@ def test_leaks_of_odd_rows(spark):
     assert decontaminate.without_leaks(odd(spark), empty).count() == len(odd_rows())
 
 
+def test_short_items_are_found_wherever_they_occur(spark):
+    """Items of 1 to 7 words, verbatim in 400 other words; two equal items, and runs that only look alike."""
+    rows, items, want = [], [], set()
+    for n in range(1, 8):
+        for k in range(15):
+            item = " ".join(f"q{n}x{k}w{j}" for j in range(n))
+            items.append((100 * n + k, item + "."))
+            rows.append((1000 * n + k, prose(n * 50 + k, 200) + " " + item.upper() + ", " + prose(n * 70 + k, 200)))
+            want.add((1000 * n + k, 100 * n + k))
+    items += [(9000, "q7x0w0 q7x0w1"), (9001, "q7x0w0 q7x0w1"), (9002, "q7x0w0 q7x0w2"), (9003, "q7x0w6 q7x1w0")]
+    want |= {(7000, 9000), (7000, 9001)}
+    rows += [(1, "q7x0w6"), (2, "q7x1w0"), (3, None), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    found = decontaminate.leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == want
+    assert all(r.n_common == r.n_item_words for r in found)
+
+
+@pytest.mark.parametrize("kept", [0.9, 0.8, 0.7, 0.6, 0.55])
+def test_recall_of_paraphrases_with_their_answer(spark, kept):
+    """Of 60 items a share of the words stays in place, and the answer whole; below 0.75 only the answer decides."""
+    r, rows, items = random.Random(int(100 * kept)), [], []
+    for k in range(60):
+        body, answer = prose(3000 + k, 40).split(" "), prose(4000 + k, 5)
+        items.append((k, " ".join(body) + ". " + answer + "."))
+        # The answer's five words stay, so the share of all 45 words is ``kept``.
+        gone = set(r.sample(range(40), round(45 * (1 - kept))))
+        said = [prose(50_000 + 100 * k + i, 1) if i in gone else w for i, w in enumerate(body)]
+        rows.append((k, " ".join([prose(5500 + k, 150), *said, answer, prose(6500 + k, 150)])))
+        rows.append((1000 + k, " ".join([prose(5500 + k, 150), *said, prose(7500 + k, 150)]) if kept < 0.7 else prose(7700 + k, 300)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    found = decontaminate.leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {(x.doc_id, x.item_id) for x in found}
+    assert len(got & {(k, k) for k in range(60)}) >= 54
+    assert not any(d >= 1000 or d != i for d, i in got)
+
+
 # Archives
 
 
