@@ -11,10 +11,19 @@ from pyspark.sql import functions as F
 def json_text(raw: Column, path: str) -> Column:
     """Text at a dotted path; numbers in the path are list positions.
 
-    Key lookup is case-sensitive, unlike struct field access.
+    Key lookup is case-sensitive, unlike struct field access.  Of a repeated name the last value counts, except below
+    list positions.
     """
-    steps = "".join(f"[{p}]" if p.isdigit() else f".{p}" for p in path.split("."))
-    return F.get_json_object(raw, "$" + steps)
+    steps = path.split(".")
+    if any(p.isdigit() for p in steps):
+        return F.get_json_object(raw, "$" + "".join(f"[{p}]" if p.isdigit() else f".{p}" for p in steps))
+    schema = f"`{steps[-1]}` string"
+    for p in reversed(steps[:-1]):
+        schema = f"`{p}` struct<{schema.replace(' ', ': ', 1)}>"
+    out = F.from_json(raw, schema)
+    for p in steps:
+        out = out.getField(p)
+    return out
 
 
 def first_path(raw: Column, *paths: str) -> Column:

@@ -150,10 +150,29 @@ def _landed(df: DataFrame, ingest_date: str | None) -> DataFrame:
     return dated.withColumn("ingest_date", F.col("ingest_date").cast("date"))
 
 
+#: What JSON has and what some parsers let pass besides: quotes are double.
+_JSON = {"allowSingleQuotes": "false"}
+
+
 def _is_unreadable(value: Column) -> Column:
-    """Text that is neither an object nor an array of them, such as a page that was cut off."""
+    """Text that is not one object or one array, such as a page that was cut off or two objects in a row.
+
+    A name may be repeated in an object: its last value counts.
+    """
     starts = F.ltrim(value).startswith("[") | F.ltrim(value).startswith("{")
-    return F.try_parse_json(value).isNull() | ~starts
+    # Between brackets, so that an object is judged as a list's element is, and nothing may follow it.
+    alone = F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<string>", _JSON)
+    return ~starts | alone.isNull() | (F.size(alone) != 1)
+
+
+def _elements(value: Column) -> Column:
+    """The elements of a readable line as texts."""
+    is_page = F.ltrim(value).startswith("[")
+    return F.when(is_page, F.from_json(value, "array<string>", _JSON)).otherwise(F.array(value))
+
+
+def _is_object(element: Column) -> Column:
+    return F.coalesce(F.ltrim(element).startswith("{"), F.lit(False))
 
 
 def _texts(spark: SparkSession, path: str, only: Sequence[str] | None, **options) -> DataFrame:
@@ -185,18 +204,22 @@ def read_items(
     a total order in which later items override earlier ones.  With ``ingest_date`` only
     that day's folder is read, with ``only`` the landings of these folders.
 
-    A line that cannot be read fails the job.  With ``skip_unreadable`` the readable
-    lines are handed out; ``read_rejects`` hands out the others.
+    A line that cannot be read, or an element of a page that is null or no object, fails the job.  With
+    ``skip_unreadable`` the readable items are handed out; ``read_rejects`` hands out the others.
     """
     lines = _lines(spark, path, whole_files, ingest_date, only)
     bad = _is_unreadable(F.col("value"))
+    where = F.concat(F.lit("unreadable item in "), F.col("_metadata.file_path"), F.lit(": "))
     if skip_unreadable:
         lines = lines.where(~bad)
+        items = F.filter(_elements(F.col("value")), _is_object)
     else:
-        said = F.concat(F.lit("unreadable item in "), F.col("_metadata.file_path"), F.lit(": "), F.left("value", F.lit(80)))
-        lines = lines.withColumn("value", F.when(bad, F.raise_error(said)).otherwise(F.col("value")))
-    is_page = F.ltrim("value").startswith("[")
-    items = F.when(is_page, F.from_json("value", "array<string>")).otherwise(F.array("value"))
+        said = F.concat(where, F.left("value", F.lit(80)))
+        value = F.when(bad, F.raise_error(said)).otherwise(F.col("value"))
+        items = F.transform(
+            _elements(value),
+            lambda x: F.when(_is_object(x), x).otherwise(F.raise_error(F.concat(where, F.left(F.coalesce(x, F.lit("null")), F.lit(80))))),
+        )
     return (
         lines.select("ingest_date", "landing", items.alias("_items"), *_place())
         .select(
@@ -211,9 +234,13 @@ def read_items(
 def read_rejects(
     spark: SparkSession, path: str, whole_files: bool = False, ingest_date: str | None = None
 ) -> DataFrame:
-    """The lines that ``read_items`` cannot read, with their place."""
-    bad = _lines(spark, path, whole_files, ingest_date).where(_is_unreadable(F.col("value")))
-    return bad.select("ingest_date", "landing", *_place()[:3], F.col("value").alias("raw"))
+    """The lines, and the elements of readable lines, that ``read_items`` cannot read, with their place."""
+    lines = _lines(spark, path, whole_files, ingest_date)
+    odd = F.transform(F.filter(_elements(F.col("value")), lambda x: ~_is_object(x)), lambda x: F.coalesce(x, F.lit("null")))
+    rejects = F.when(_is_unreadable(F.col("value")), F.array("value")).otherwise(odd)
+    return lines.select("ingest_date", "landing", rejects.alias("_odd"), *_place()[:3]).select(
+        "ingest_date", "landing", "page", "file_path", "block_start", F.explode("_odd").alias("raw")
+    )
 
 
 def read_pages(spark: SparkSession, path: str, schema: str, whole_files: bool = False) -> DataFrame:

@@ -91,23 +91,32 @@ VIEWS["reject_events"] = "SELECT event_id, event_type FROM fx_events"
 
 @query(
     "src_json_reject",
-    """SELECT CASE WHEN event_id % 5 = 0 THEN 'reject' ELSE 'item' END AS kind, count(*) AS n,
-     CAST(sum(event_id) AS BIGINT) AS ids FROM reject_events GROUP BY 1""",
+    """SELECT kind, count(*) AS n, CAST(sum(id) AS BIGINT) AS ids, count(*) FILTER (type = 'last') AS n_last FROM (
+     SELECT CASE WHEN event_id % 5 = 0 THEN 'reject' ELSE 'item' END AS kind, event_id AS id,
+      CASE WHEN event_id % 5 > 0 THEN CASE WHEN event_id % 3 = 0 THEN 'last' ELSE event_type END END AS type FROM reject_events
+     UNION ALL SELECT 'odd element', event_id, NULL FROM reject_events WHERE event_id % 7 = 0 AND event_id % 5 > 0) GROUP BY 1""",
 )
 def src_json_reject(t: Tables):
-    """Every fifth page was cut off: its items are counted as rejects, not lost."""
-    path = scratch_path(t.spark, "cut")
-    whole = F.to_json(F.array(F.struct(F.col("event_id").alias("_id"), F.col("event_type").alias("type"))))
-    cut = F.when(F.col("event_id") % 5 == 0, F.expr("left(page, length(page) - 6)")).otherwise(F.col("page"))
-    t.reject_events.select(whole.alias("page")).select("page", F.get_json_object("page", "$[0]._id").cast("long").alias("event_id")).select(
-        cut.alias("value")
-    ).write.text(path)
+    """Every fifth page was cut off, every third item has a name twice, every seventh page a number among its items."""
+    path, id = scratch_path(t.spark, "cut"), F.col("event_id")
+    item = F.concat(
+        F.lit('{"_id":'), id.cast("string"), F.lit(',"type":"'), F.col("event_type"),
+        F.when(id % 3 == 0, '","type":"last').otherwise(""), F.lit('"}'),
+    )
+    page = F.concat(F.lit("["), item, F.when(id % 7 == 0, F.concat(F.lit(","), id.cast("string"))).otherwise(""), F.lit("]"))
+    t.reject_events.select(F.when(id % 5 == 0, F.left(page, F.length(page) - 2)).otherwise(page).alias("value")).write.text(path)
     items = bronze.read_items(t.spark, path, skip_unreadable=True)
-    good = items.select(F.lit("item").alias("kind"), json_text(F.col("raw"), "_id").cast("long").alias("id"))
+    good = items.select(
+        F.lit("item").alias("kind"), json_text(F.col("raw"), "_id").cast("long").alias("id"), json_text(F.col("raw"), "type").alias("type")
+    )
+    number = F.col("raw").try_cast("long")
     bad = bronze.read_rejects(t.spark, path).select(
-        F.lit("reject").alias("kind"), F.regexp_extract("raw", '"_id":([0-9]+)', 1).cast("long").alias("id")
+        F.when(number.isNull(), "reject").otherwise("odd element").alias("kind"),
+        F.coalesce(number, F.regexp_extract("raw", '"_id":([0-9]+)', 1).try_cast("long")).alias("id"), F.lit(None).cast("string").alias("type"),
+    )
+    return good.unionByName(bad).groupBy("kind").agg(
+        F.count("*").alias("n"), F.sum("id").alias("ids"), F.count_if(F.col("type") == "last").alias("n_last")
     )
-    return good.unionByName(bad).groupBy("kind").agg(F.count("*").alias("n"), F.sum("id").alias("ids"))
 
 
 @query(

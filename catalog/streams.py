@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from arrearium.session import scratch_path
-from arrearium.streaming import jobs
+from arrearium.streaming import jobs, levels
 from catalog.folds import KEYS, MUTABLE, ORDER, STICKY_SQL
 from catalog.registry import dbl, query, ts, txt
 from catalog.tables import Tables, present
@@ -77,3 +77,59 @@ def stream_dedup(t: Tables):
 def stream_daily_totals(t: Tables):
     items = _distinct(t, t.fx_events.select("event_id", "ts", "event_type", "amount"))
     return present(jobs.daily_totals(items, "ts", "amount", ["event_type"]))
+
+
+BATCHES = 20
+
+
+@query(
+    "stream_compacted",
+    f"""SELECT *, true AS few_folders FROM ({STICKY_SQL.replace("loaded_at", "first_seen").replace("updated_at", "last_seen")})""",
+)
+def stream_compacted(t: Tables):
+    """Twenty micro-batches, merged by the stream as they come; a reader opens a few folders."""
+    versions = t.versions.withColumn("first_seen", F.col("seen_on").cast("timestamp")).withColumn("last_seen", F.col("first_seen"))
+    source, table = scratch_path(t.spark, "versions"), scratch_path(t.spark, "levels")
+    versions.repartition(BATCHES).write.parquet(source)
+    stream = t.spark.readStream.schema(versions.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    sticky, mutable = ["l_partkey", "quantity", "kind", "first_seen"], [*MUTABLE, "last_seen"]
+    levels.start_upsert(stream, table, scratch_path(t.spark, "checkpoint"), KEYS, sticky, mutable, ORDER).awaitTermination()
+    stored = levels.upsert_table(t.spark, table, KEYS, sticky, mutable)
+    few = len(stored.segments()) <= 2 and sum(s.last - s.first + 1 for s in stored.segments()) == BATCHES
+    return present(stored.read().drop("_first_at", "_last_at").withColumn("few_folders", F.lit(few)))
+
+
+def _with_copies(t: Tables):
+    """Every third event has a later copy with another amount; pulls bring the newest rows first, so copies come before."""
+    events = t.fx_events.select("event_id", "ts", "event_type", "amount")
+    copies = events.where("event_id % 3 = 0").withColumns(
+        {"ts": F.expr("ts + INTERVAL 12 DAYS"), "amount": (F.col("amount") + 1).cast("decimal(18,2)")}
+    )
+    return events.unionByName(copies)
+
+
+@query(
+    "stream_totals_delta",
+    f"""SELECT {txt('ts')} AS day, event_type, count(*) AS n, {dbl('sum(amount)')} AS total FROM fx_events GROUP BY 1, 2""",
+)
+def stream_totals_delta(t: Tables):
+    """Totals kept by signed changes while copies come before the rows they are copies of."""
+    out, checkpoint = scratch_path(t.spark, "totals"), scratch_path(t.spark, "checkpoint")
+    for stream in _pulls(t, _with_copies(t), "ts", "events", CUTS):
+        levels.start_totals(stream, out, checkpoint, ["event_id"], ["ts"], "ts", "amount", ["event_type"]).awaitTermination()
+    return present(levels.totals(t.spark, out, ["event_type"]))
+
+
+@query(
+    "stream_dedup_pruned",
+    f"""SELECT event_id, {ts('ts')} AS ts, event_type, {dbl('amount')} AS amount, true AS pruned FROM fx_events""",
+)
+def stream_dedup_pruned(t: Tables):
+    """Distinct items whose batches look up only the buckets that may hold one of their ids."""
+    out, checkpoint, looked = scratch_path(t.spark, "items"), scratch_path(t.spark, "checkpoint"), []
+    for stream in _pulls(t, _with_copies(t), "ts", "events", ["2024-01-06", *CUTS, "2024-01-26"]):
+        query = levels.start_distinct(stream, out, checkpoint, ["event_id"], ["ts"], lambda *x: looked.append(x))
+        query.awaitTermination()
+    read, present_ = (sum(x) for x in zip(*looked, strict=True))
+    items = levels.seen_items(t.spark, out, ["event_id"], ["ts", "event_type", "amount"]).read().drop("_first_at", "_last_at")
+    return present(items.withColumn("pruned", F.lit(read < present_)))

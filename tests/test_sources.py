@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from arrearium.functions.jsonpath import json_text
 from arrearium.session import scratch_path
 from arrearium.sources import bronze, ingest
 from arrearium.sources.specs import (
@@ -296,6 +297,30 @@ def test_unreadable_pages_fail_or_become_rejects(spark, tmp_path):
     assert sorted(r.raw for r in bronze.read_rejects(spark, path).collect()) == sorted([lines[1], lines[3], lines[5]])
 
 
+def test_repeated_names_and_odd_elements(spark, tmp_path):
+    """Of a repeated name the last value counts; elements that are no objects, and text after a page, are rejects."""
+    path = str(tmp_path / "odd")
+    lines = [
+        '{"_id": 1, "a": 2, "a": 3, "b": {"c": 1, "c": null, "c": "x"}}', '[{"_id": 2, "a": "p", "a": "q"}, null, 5, "x", [1], {}]',
+        '{"_id": 3}{"_id": 4}', '{"_id": 5},{"_id": 6}', '[{"_id": 7}]x', "{'_id': 8}", ' [ ] ', '{"_id": 9, "a": NaN}',
+    ]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    raw = F.col("raw")
+    got = bronze.read_items(spark, path, skip_unreadable=True).select(
+        json_text(raw, "_id").alias("i"), json_text(raw, "a").alias("a"), json_text(raw, "b.c").alias("c"), json_text(raw, "b").alias("b")
+    )
+    assert sorted(map(tuple, got.collect()), key=str) == [
+        ("1", "3", "x", '{"c":1,"c":null,"c":"x"}'), ("2", "q", None, None), ("9", '"NaN"', None, None), (None, None, None, None)
+    ]
+    rejects = sorted(r.raw for r in bronze.read_rejects(spark, path).collect())
+    assert rejects == sorted(["null", "5", "x", "[1]", lines[2], lines[3], lines[4], lines[5]])
+    for line in ('[{"_id": 1}, null]', '[5]', lines[2]):
+        one = str(tmp_path / str(abs(hash(line))))
+        spark.createDataFrame([(line,)], "value string").write.text(one)
+        with pytest.raises(Exception, match="unreadable item"):
+            bronze.read_items(spark, one).collect()
+
+
 def test_csv_landings_with_other_headers_and_quoted_cells(spark, tmp_path):
     path = str(tmp_path / "csv")
     one = spark.createDataFrame([("2025-01-01", "x1", 'Ann "A", Lee')], "ingest_date string, ID string, Name string")
