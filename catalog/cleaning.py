@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from arrearium import values
 from arrearium.functions import amounts as am, cleaning as cl, dates as da, jsonpath as js
+from arrearium.operators import learned
 from arrearium.sources import bronze
 from catalog.registry import dbl, query, rnd, ts, txt
 from catalog.tables import RULES, VIEWS, Tables, present
@@ -348,3 +349,24 @@ def scalar_dates(t: Tables):
             F.size(da.months_between(d, today)).alias("n_months"),
         )
     )
+
+
+@query(
+    "clean_dates_learned",
+    f"""SELECT o_orderkey, {txt('o_orderdate')} AS day_first, {txt('o_orderdate')} AS month_first,
+     CASE WHEN day(o_orderdate) <= 12 THEN CAST(make_date(year(o_orderdate), day(o_orderdate), month(o_orderdate)) AS VARCHAR) END AS no_evidence,
+     CASE WHEN day(o_orderdate) <= 12 AND o_orderkey % 2 = 0
+      THEN CAST(make_date(year(o_orderdate), day(o_orderdate), month(o_orderdate)) AS VARCHAR) ELSE {txt('o_orderdate')} END AS mixed,
+     CASE WHEN o_orderkey % 3 > 0 THEN {txt('o_orderdate')} END AS shapes FROM orders""",
+)
+def clean_dates_learned(t: Tables):
+    """Columns with the day first, the month first, no day above 12, both orders, and several shapes with missing values."""
+    day, key = F.col("o_orderdate"), F.col("o_orderkey")
+    dmy, mdy = F.date_format(day, "d/M/yyyy"), F.date_format(day, "M/d/yyyy")
+    texts = t.orders.select(
+        "o_orderkey", dmy.alias("day_first"), F.date_format(day, "MM-dd-yyyy HH:mm:ss").alias("month_first"),
+        F.when(F.dayofmonth(day) <= 12, dmy).alias("no_evidence"), F.when(key % 2 == 0, dmy).otherwise(mdy).alias("mixed"),
+        F.when(key % 3 == 0, "N/A").when(key % 3 == 1, F.date_format(day, "dd.MM.yyyy")).otherwise(F.date_format(day, "yyyy-MM-dd")).alias("shapes"),
+    )
+    columns = [c for c in texts.columns if c != "o_orderkey"]
+    return present(learned.with_learned_dates(texts, columns).select("o_orderkey", *[F.col(c).cast("date").alias(c) for c in columns]))

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from arrearium import values
 from arrearium.functions.amounts import sum_if
-from arrearium.operators import asof, joins, windows
+from arrearium.operators import asof, distinct, joins, windows
 from arrearium.plans import contracts as co
 from arrearium.plans.snapshots import _snapshots_of
+from arrearium.session import scratch_path
 from catalog.kpis import REPORT, financials
 from catalog.registry import dbl, months, part_of, query, ts, txt
 from catalog.tables import FIRST_MONTH, LAST_MONTH, RULES, VIEWS, Tables, present
@@ -299,6 +300,30 @@ def ledger_profile(t: Tables):
     )
 
 
+@query(
+    "ledger_profile_merged",
+    """SELECT year(posting_date) AS year, count(DISTINCT contract_ogc) AS contracts, count(DISTINCT installation_id) AS installations
+    FROM b_ledger GROUP BY 1 UNION ALL
+    SELECT NULL, count(DISTINCT contract_ogc), count(DISTINCT installation_id) FROM b_ledger""",
+)
+def ledger_profile_merged(t: Tables):
+    """Distinct ids per year and in all, merged from bitmaps kept per month; the ids come in two batches."""
+    ledger = t.b_ledger.withColumn("month", F.trunc("posting_date", "MM"))
+    cut = F.lit("1997-01-01").cast("date")
+    out = None
+    for id, name in (("contract_ogc", "contracts"), ("installation_id", "installations")):
+        path = scratch_path(t.spark, "dictionary")
+        distinct.number_ids(ledger.where(F.col("month") < cut), id).write.parquet(path)
+        distinct.number_ids(ledger, id, t.spark.read.parquet(path)).write.mode("append").parquet(path)
+        kept = scratch_path(t.spark, "bitmaps")
+        distinct.slice_bitmaps(ledger, t.spark.read.parquet(path), id, ["month"]).write.parquet(kept)
+        months = t.spark.read.parquet(kept)
+        years = distinct.merged_count(months.withColumn("year", F.year("month")), ["year"], name)
+        both = years.unionByName(distinct.merged_count(months, [], name).withColumn("year", F.lit(None).cast("int")))
+        out = both if out is None else out.withColumnRenamed("year", "y").join(both, F.col("y").eqNullSafe(F.col("year"))).drop("y")
+    return out.select("year", "contracts", "installations")
+
+
 @query(
     "coverage_by_entity",
     """SELECT entity_name, count(*) AS n, count(signing_date) AS with_signing, count(status) AS with_status,

@@ -227,6 +227,20 @@ def watermark_from_data(t: Tables):
     return present(rows[0].unionByName(rows[1]).unionByName(rows[2]))
 
 
+@query(
+    "watermark_from_footers",
+    f"""SELECT {txt('max(paid_time) - INTERVAL 1 DAY')} AS watermark, true AS in_footers FROM b_payments""",
+)
+def watermark_from_footers(t: Tables):
+    """The newest date of a stored table without reading its rows."""
+    path = scratch_path(t.spark, "payments")
+    t.b_payments.write.parquet(path)
+    plan = ingest.newest_in_footers(t.spark, path, ["paid_time"])._jdf.queryExecution().executedPlan().toString()
+    pushed = "PushedAggregation: [MAX(paid_time)]" in plan
+    mark = ingest.watermark_from_footers(t.spark, path, ["paid_time"])
+    return present(mark.withColumn("in_footers", F.lit(pushed)))
+
+
 VIEWS["paged_events"] = "SELECT CAST(floor(event_id / 50) AS INT) AS page, asset_id FROM fx_events"
 
 
