@@ -147,12 +147,13 @@ def judged(docs: DataFrame, id: str = "doc_id", text: str = "text", host: str =
     )
     bad = rejected_hosts(own, "host", "base_failed")
     return own.join(bad, own["host"] == bad["rejected_host"], "left").select(
-        *own.columns, (~F.col("base_failed") & F.col("rejected_host").isNull()).alias("kept")
+        *[c for c in own.columns if c != "host"], (~F.col("base_failed") & F.col("rejected_host").isNull()).alias("kept"), "host"
     )
 
 
 def keep_good(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
     """The documents that pass, with all their columns.  Texts are read twice rather than shuffled."""
     failed = base_failed(F.col(text))
-    bad = rejected_hosts(docs.select(F.col(host).alias("h"), failed.alias("f")), "h", "f")
+    # Stored, so that its size on disk decides whether it is sent to all; else the texts are dealt by host and hot hosts split.
+    bad = stored(rejected_hosts(docs.select(F.col(host).alias("h"), failed.alias("f")), "h", "f"), "hosts")
     return docs.where(~failed).join(bad, docs[host] == bad["rejected_host"], "left_anti")

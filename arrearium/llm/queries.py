@@ -109,8 +109,8 @@ bad AS (SELECT host FROM hosts, prior WHERE (f + mean * weight) / (n + weight) >
     "op6_rules",
     OP6_COUNTS
     + """
-SELECT doc_id, host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND host NOT IN (SELECT host FROM bad) IS NOT FALSE AS kept FROM base
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND host NOT IN (SELECT host FROM bad) IS NOT FALSE AS kept, host FROM base
 """,
 )
 def op6(spark: SparkSession, folder: str) -> DataFrame:
