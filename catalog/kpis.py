@@ -7,7 +7,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from arrearium.functions.dates import calendar
-from arrearium.operators import slices
+from arrearium.operators import layout, slices
 from arrearium.plans import collection, contracts as co, payments as pay, portfolio, report, snapshots as sn
 from arrearium.plans.repayment import linearized_repayment
 from arrearium.session import scratch_path
@@ -368,6 +368,18 @@ def collection_rate_fixed(t: Tables):
     return present(fixed_rate(t, contracts(t)))
 
 
+@query("collection_rate_laid_out", FIXED)
+def collection_rate_laid_out(t: Tables):
+    """The fixed rate over tables laid out once by contract or account, which join and group without being shuffled."""
+    return present(
+        collection.collection_rate_fixed(
+            t.spark, layout.laid_out(t.a_payments, "contract_number"), layout.laid_out(t.b_payments, "account"),
+            layout.laid_out(t.fx_asset_map, "asset_number"), layout.laid_out(t.snapshots, "contract_number"),
+            layout.laid_out(contracts(t), "contract_number"), COLLECTION_LAST, RULES,
+        )
+    )
+
+
 ORACLE_VIEWS["o_paid_free"] = """
     SELECT date_trunc('month', p.payment_date) AS ms,
      sum(CASE WHEN g.deal_type <> 'FULL' AND payment_class = 'upfront' THEN amount ELSE 0 END) AS paid_upfront,
