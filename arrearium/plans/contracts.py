@@ -45,6 +45,25 @@ def latest_deployment(a_assets: DataFrame, deployed_only: bool = True) -> DataFr
     return latest_per_key(rows, ["contract_number"], F.col("deploy_date"), ["payg_number"])
 
 
+def deploy_reference(asset_events: DataFrame, a_assets: DataFrame) -> DataFrame:
+    """(contract_number, deploy_date): when a contract's first asset was deployed, by the log of asset events.
+
+    Events collapse to an asset's first deployment before they meet the assets, so an asset with many events is one row
+    per task.  Undated events, and assets without a contract, say nothing.
+    """
+    first = (
+        asset_events.filter((F.col("event_type") == "DEPLOYED") & F.col("event_date").isNotNull())
+        .groupBy(F.col("payg_number").alias("_payg"))
+        .agg(F.min("event_date").alias("deploy_date"))
+    )
+    held = a_assets.filter(F.col("contract_number").isNotNull()).select("payg_number", "contract_number")
+    return (
+        held.join(first, F.col("payg_number") == F.col("_payg"), "inner")
+        .groupBy("contract_number")
+        .agg(F.min("deploy_date").cast("date").alias("deploy_date"))
+    )
+
+
 def b_payment_totals(b_payments: DataFrame, asset_map: DataFrame) -> DataFrame:
     """Per installation: sum and newest time of the payments that were not reversed.
 

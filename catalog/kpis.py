@@ -13,6 +13,7 @@ from arrearium.plans.repayment import linearized_repayment
 from arrearium.session import scratch_path
 from catalog.registry import ORACLE_VIEWS, dbl, eur, months, part_of, query, rnd, ts, txt
 from catalog.tables import (
+    VIEWS,
     AS_OF, COLLECTION_LAST, FIRST_MONTH, HISTORY_FIRST, HISTORY_LAST, LAST_MONTH, RULES, Tables, present,
 )
 
@@ -368,6 +369,22 @@ def collection_rate_fixed(t: Tables):
     return present(fixed_rate(t, contracts(t)))
 
 
+# Every asset is stocked, and most are deployed, some twice and some without a date.
+VIEWS["asset_log"] = """
+    SELECT payg_number, 'STOCKED' AS event_type, date_added AS event_date FROM a_assets
+    UNION ALL SELECT payg_number, 'DEPLOYED', deploy_date FROM a_assets WHERE status = 'DEPLOYED' OR deploy_date IS NULL
+    UNION ALL SELECT payg_number, 'DEPLOYED', date_added + INTERVAL 20 DAY FROM a_assets WHERE serial_number LIKE '%1'"""
+
+
+@query(
+    "deploy_reference_events",
+    f"""SELECT a.contract_number, {txt('min(e.event_date)')} AS deploy_date FROM a_assets a JOIN asset_log e USING (payg_number)
+    WHERE e.event_type = 'DEPLOYED' AND e.event_date IS NOT NULL GROUP BY 1""",
+)
+def deploy_reference_events(t: Tables):
+    return present(co.deploy_reference(t.asset_log, t.a_assets))
+
+
 @query("collection_rate_laid_out", FIXED)
 def collection_rate_laid_out(t: Tables):
     """The fixed rate over tables laid out once by contract or account, which join and group without being shuffled."""
