@@ -8,6 +8,9 @@ tasks exist, so what a lost attempt has written is never referred to.
 Equal payloads of at least ``least_bytes`` are stored once: the record with the largest id is the response, the
 others are revisits that name it.
 
+Records have the headers that WARC/1.1 demands.  A record's own id is a UUID made from the archive, the row's id and its
+number, so rows that share an id have records of their own; the row's id stands in a header beside it.
+
 Defined results: a null payload is empty; a null url gives no target; a null id is smaller than every other; of
 rows that share payload and largest id one is the response; an empty table gives an empty manifest; other columns
 are not archived.
@@ -34,25 +37,39 @@ BUNDLE_BYTES = 512_000_000
 LEAST_BYTES = 1000
 #: Fixed values of the seekable format: magic numbers of the skippable frame and of its footer.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
+#: Headers for the ids of rows, and the date of records whose rows have none.
+ID, REFERS_ID, DATE = "X-Row-ID", "X-Refers-To-Row-ID", "1970-01-01T00:00:00Z"
 
 MANIFEST = "record_id long, bundle string, frame_offset long, frame_bytes long, start long, length long"
 RECORD = "record_id long, record_type string, payload_bytes long, payload_digest string, refers_to long, target string"
 
 
-def record(id: int | None, url: str | None, payload: bytes | None, digest: str, refers_to: int | None, kind: str) -> bytes:
+def record_urn(archive: str, id: int | None, row: int) -> str:
+    """The id of a row's record in an archive."""
+    return f"<{uuid.uuid5(uuid.NAMESPACE_URL, f'{archive}/{id}/{row}').urn}>"
+
+
+def record(
+    id: int | None, url: str | None, payload: bytes | None, digest: str, refers_to: int | None, kind: str,
+    urn: str = "", refers_urn: str = "", date: str = DATE,
+) -> bytes:
     """One WARC record; a revisit has no payload."""
     body = payload or b"" if kind == "response" else b""
     head = [
         "WARC/1.1",
         f"WARC-Type: {kind}",
-        f"WARC-Record-ID: <urn:page:{'' if id is None else id}>",
+        f"WARC-Record-ID: {urn or record_urn('', id, 0)}",
+        f"WARC-Date: {date}",
         f"WARC-Payload-Digest: sha1:{digest}",
+        "Content-Type: text/html",
         f"Content-Length: {len(body)}",
+        f"{ID}: {'' if id is None else id}",
     ]
     if url is not None:
         head.append("WARC-Target-URI: " + url.replace("\r", "%0D").replace("\n", "%0A"))
     if kind == "revisit":
-        head.append(f"WARC-Refers-To: <urn:page:{'' if refers_to is None else refers_to}>")
+        head.append(f"WARC-Refers-To: {refers_urn or record_urn('', refers_to, 0)}")
+        head.append(f"{REFERS_ID}: {'' if refers_to is None else refers_to}")
         head.append("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
     return "\r\n".join(head).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
 
@@ -84,7 +101,7 @@ def read_seek_table(file) -> list[tuple[int, int]]:
     if magic != SEEKABLE:
         raise ValueError("no seek table at the end of the bundle")
     file.seek(size - 9 - 8 * count)
-    sizes = [struct.unpack_from("<II", entries, 0)[0] for entries in (file.read(8) for _ in range(count))]
+    sizes = [packed for packed, _ in struct.iter_unpack("<II", file.read(8 * count))]
     at, out = 0, []
     for n in sizes:
         out.append((at, n))
@@ -153,9 +170,9 @@ _RECORD = pa.schema(
 
 def write(
     pages: DataFrame, folder: str, id: str = "page_id", url: str = "url", payload: str = "html",
-    least_bytes: int = LEAST_BYTES,
+    least_bytes: int = LEAST_BYTES, date: str = DATE,
 ) -> DataFrame:
-    """Archive all rows below ``folder``; returns the manifest, stored.
+    """Archive all rows below ``folder``; returns the manifest, stored.  ``date`` is when they were fetched.
 
     Rows are staged with a number each, so which of several equal rows is the response stays the same however often
     a task runs.  Copies are found by digest, counted on the map side first, so a hot payload is one row per task.
@@ -171,16 +188,18 @@ def write(
         ),
         "warc-pages",
     )
-    copies = (
+    # Stored, so that its size on disk decides whether it is sent to all; else hot payloads are split by the join.
+    copies = stored(
         staged.where(F.octet_length("payload") >= least_bytes)
         .groupBy(F.col("digest").alias("of"))
         .agg(F.max(F.struct("id", "row")).alias("best"), F.count("*").alias("n"))
-        .where("n > 1")
+        .where("n > 1"),
+        "warc-copies",
     )
     revisit = F.col("best").isNotNull() & (F.col("best")["row"] != F.col("row"))
     ready = staged.join(copies, staged["digest"] == copies["of"], "left").select(
         "id", "url", F.when(~revisit, F.col("payload")).alias("payload"), "digest",
-        F.when(revisit, F.col("best")["id"]).alias("refers_to"), revisit.alias("revisit"),
+        F.when(revisit, F.col("best")["id"]).alias("refers_to"), revisit.alias("revisit"), "row", F.col("best")["row"].alias("refers_row"),
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,11 +207,12 @@ def write(
         for batch in batches:
             rows: list[tuple] = []
             for i in range(batch.num_rows):
-                id, url, payload, digest, refers_to, revisit = (c[i].as_py() for c in batch.columns)
+                id, url, payload, digest, refers_to, revisit, row, refers_row = (c[i].as_py() for c in batch.columns)
                 if bundle is None:
                     bundle = _Bundle(folder)
-                kind = "revisit" if revisit else "response"
-                rows += bundle.add(id, record(id, url, payload, digest, refers_to, kind))
+                kind, urn = "revisit" if revisit else "response", record_urn(folder, id, row)
+                refers = record_urn(folder, refers_to, refers_row) if revisit else ""
+                rows += bundle.add(id, record(id, url, payload, digest, refers_to, kind, urn, refers, date))
                 if bundle.at >= BUNDLE_BYTES:
                     rows += bundle.close()
                     bundle = None
@@ -204,9 +224,24 @@ def write(
     return stored(ready.mapInArrow(run, MANIFEST), "warc-manifest")
 
 
-def _number(urn: str) -> int | None:
-    digits = urn.removeprefix("<urn:page:").removesuffix(">")
-    return int(digits) if digits else None
+def _number(text: str) -> int | None:
+    return int(text) if text else None
+
+
+def _record_row(path: str, head: dict[str, str], payload: bytes) -> tuple:
+    kind, said = head["WARC-Type"], head["WARC-Payload-Digest"].removeprefix("sha1:")
+    if kind == "response" and hashlib.sha1(payload).hexdigest() != said:
+        raise ValueError(f"payload and digest differ in {path}")
+    refers = _number(head[REFERS_ID]) if kind == "revisit" else None
+    n = len(payload) if kind == "response" else None
+    return _number(head[ID]), kind, n, said, refers, head.get("WARC-Target-URI")
+
+
+def _frame(path: str, offset: int, size: int) -> bytes:
+    system, inner = _open(path)
+    with system.open_input_file(inner) as file:
+        file.seek(offset)
+        return zstandard.ZstdDecompressor().decompress(file.read(size))
 
 
 def _read_frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,19 +249,20 @@ def _read_frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
             path, offset, size = (c[i].as_py() for c in batch.columns[:3])
-            system, inner = _open(path)
-            with system.open_input_file(inner) as file:
-                file.seek(offset)
-                whole = zstandard.ZstdDecompressor().decompress(file.read(size))
-            rows = []
-            for _, head, payload in records(whole):
-                kind, said = head["WARC-Type"], head["WARC-Payload-Digest"].removeprefix("sha1:")
-                if kind == "response" and hashlib.sha1(payload).hexdigest() != said:
-                    raise ValueError(f"payload and digest differ in {path}")
-                refers = _number(head["WARC-Refers-To"]) if kind == "revisit" else None
-                n = len(payload) if kind == "response" else None
-                rows.append((_number(head["WARC-Record-ID"]), kind, n, said, refers, head.get("WARC-Target-URI")))
-            yield _batch(rows, _RECORD)
+            yield _batch([_record_row(path, h, p) for _, h, p in records(_frame(path, offset, size))], _RECORD)
+
+
+def _read_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of (bundle, offset, size, start, length) to the records at these places; rows of one frame follow each other."""
+    now, whole = None, b""
+    for batch in batches:
+        rows = []
+        for path, offset, size, start, length in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (path, offset) != now:
+                now, whole = (path, offset), _frame(path, offset, size)
+            ((_, head, payload),) = records(whole[start : start + length])
+            rows.append(_record_row(path, head, payload))
+        yield _batch(rows, _RECORD)
 
 
 def read_all(manifest: DataFrame) -> DataFrame:
@@ -271,11 +307,12 @@ def _with_sizes(found: DataFrame) -> DataFrame:
 
 
 def lookup(manifest: DataFrame, ids: DataFrame, id: str = "record_id") -> DataFrame:
-    """The records of some ids only: just their frames are read (revisits without the size of their payload)."""
+    """The records of some ids only, cut out of their frames (revisits without the size of their payload)."""
     wanted = ids.select(F.col(id).cast("long").alias("wanted")).distinct()
-    frames = manifest.join(wanted, manifest["record_id"] == wanted["wanted"], "left_semi")
-    found = frames.select("bundle", "frame_offset", "frame_bytes").distinct().mapInArrow(_read_frames, RECORD)
-    return found.join(wanted, found["record_id"] == wanted["wanted"], "left_semi")
+    places = manifest.join(wanted, manifest["record_id"] == wanted["wanted"], "left_semi")
+    frame = ["bundle", "frame_offset"]
+    rows = places.select(*frame, "frame_bytes", "start", "length").repartition(*frame).sortWithinPartitions(*frame)
+    return rows.mapInArrow(_read_places, RECORD)
 
 
 def archive_folder(spark) -> str:

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 from collections import Counter
 
 import public_tokenizers
@@ -333,6 +334,14 @@ def test_archive_of_odd_pages(spark):
     assert {r.payload_digest for r in got if r.record_id == 5} == {hashlib.sha1(b"").hexdigest()}
     found = warc.lookup(manifest, spark.createDataFrame([(3,), (6,)], "record_id long")).collect()
     assert {(r.record_id, r.payload_bytes) for r in found} == {(3, 5), (6, 1200)}
+    heads = []
+    for r in manifest.select("bundle", "frame_offset", "frame_bytes").distinct().collect():
+        heads += [h for _, h, _ in warc.records(warc._frame(*r))]
+    own = [h["WARC-Record-ID"] for h in heads]
+    assert len(set(own)) == len(rows) and all(re.fullmatch(r"<urn:uuid:[0-9a-f-]{36}>", x) for x in own)
+    assert all(h["WARC-Date"] and h["Content-Type"] for h in heads)
+    (response,) = [h["WARC-Record-ID"] for h in heads if h["WARC-Type"] == "response" and h["X-Row-ID"] == "2"]
+    assert {h["WARC-Refers-To"] for h in heads if h["WARC-Type"] == "revisit"} == {response}
     nothing = warc.write(pages.where("page_id > 9"), warc.archive_folder(spark))
     assert warc.read_all(nothing).count() == 0
 
