@@ -175,5 +175,8 @@ def parsed(rows: DataFrame, headers: Sequence[str]) -> DataFrame:
     said = F.concat(F.lit("a quote that is neither doubled nor around a cell in "), F.col("file_path"), F.lit(": "), F.left(value, F.lit(80)))
     checked = F.when(value.contains('"') & left.contains('"'), F.raise_error(said)).otherwise(value)
     schema = ", ".join(f"c{i} string" for i in range(width))
-    row = F.from_csv(checked, schema, _OPTIONS)
-    return rows.withColumn("row_", row).withColumn("cells", F.array(*[F.col(f"row_.c{i}") for i in range(width)])).drop("row_", "value")
+    # Generated, not projected: a record is parsed once, however many filters on its cells are pushed down.
+    row = F.inline(F.array(F.from_csv(checked, schema, _OPTIONS)))
+    kept = [c for c in rows.columns if c != "value"]
+    names = [f"_cell{i}" for i in range(width)]
+    return rows.select(*kept, row.alias(*names)).select(*kept, F.array(*names).alias("cells"))

@@ -101,3 +101,10 @@ def test_exports_without_line_breaks_are_not_shuffled(spark):
 
 def test_names():
     assert split_csv.names_of('a,"b ""c"", d",,a') == ["a0", 'b "c", d', "_c2", "a3"]
+
+
+def test_filters_on_cells_parse_a_record_once(spark, tmp_path):
+    write(tmp_path / "ingest_date=2025-01-01", "x.csv", [["id", "n"], ["a, b", "1"], ["", "2"], ["c", "3"]])
+    got = bronze.read_csv_export(spark, str(tmp_path)).where("id is not null and id <> ''").where("n > 1")
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("from_csv") == 1
+    assert table(got, "id", "n") == [("c", "3")]
