@@ -124,12 +124,13 @@ def on_date(df: DataFrame, ingest_date: str) -> DataFrame:
 def _place() -> list[Column]:
     """Columns that order rows as the files were written.
 
-    The page number is compared as a number (page 1000 comes after page 999).
+    The page number is compared as a number (page 1000 comes after page 999).  What still holds a folder is none, and
+    is not tried: a failed cast costs an exception per row.
     """
     path = F.col("_metadata.file_path")
     page = F.substring_index(F.substring_index(path, "page_", -1), ".", 1)
     return [
-        page.try_cast("int").alias("page"),
+        F.when(~page.contains("/"), page.try_cast("int")).alias("page"),
         path.alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("line"),
@@ -154,15 +155,25 @@ def _landed(df: DataFrame, ingest_date: str | None) -> DataFrame:
 _JSON = {"allowSingleQuotes": "false"}
 
 
-def _is_unreadable(value: Column) -> Column:
-    """Text that is not one object or one array, such as a page that was cut off or two objects in a row.
+def once(value: Column) -> Column:
+    """``value`` as a generated column: computed once a row, however often filters and columns above refer to it.
+
+    Spark copies a plain column's expression into every filter that it pushes below it.
+    """
+    return F.explode(F.array(value))
+
+
+def _with_judged(lines: DataFrame) -> DataFrame:
+    """``lines`` with ``_bad``: text that is not one object or one array, such as a page that was cut off or two objects
+    in a row.
 
     A name may be repeated in an object: its last value counts.
     """
+    value = F.col("value")
     starts = F.ltrim(value).startswith("[") | F.ltrim(value).startswith("{")
     # Between brackets, so that an object is judged as a list's element is, and nothing may follow it.
     alone = F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<string>", _JSON)
-    return ~starts | alone.isNull() | (F.size(alone) != 1)
+    return lines.select("*", once(~starts | (F.coalesce(F.size(alone), F.lit(0)) != 1)).alias("_bad"))
 
 
 def _elements(value: Column) -> Column:
@@ -208,24 +219,20 @@ def read_items(
     ``skip_unreadable`` the readable items are handed out; ``read_rejects`` hands out the others.
     """
     lines = _lines(spark, path, whole_files, ingest_date, only)
-    bad = _is_unreadable(F.col("value"))
-    where = F.concat(F.lit("unreadable item in "), F.col("_metadata.file_path"), F.lit(": "))
+    lines = _with_judged(lines.select("ingest_date", "landing", "value", *_place()))
+    where = F.concat(F.lit("unreadable item in "), F.col("file_path"), F.lit(": "))
     if skip_unreadable:
-        lines = lines.where(~bad)
+        lines = lines.where(~F.col("_bad"))
         items = F.filter(_elements(F.col("value")), _is_object)
     else:
         said = F.concat(where, F.left("value", F.lit(80)))
-        value = F.when(bad, F.raise_error(said)).otherwise(F.col("value"))
+        value = F.when(F.col("_bad"), F.raise_error(said)).otherwise(F.col("value"))
         items = F.transform(
             _elements(value),
             lambda x: F.when(_is_object(x), x).otherwise(F.raise_error(F.concat(where, F.left(F.coalesce(x, F.lit("null")), F.lit(80))))),
         )
     return (
-        lines.select("ingest_date", "landing", items.alias("_items"), *_place())
-        .select(
-            "ingest_date", "landing", "page", "file_path", "block_start", "line",
-            F.posexplode("_items").alias("_pos", "raw"),
-        )
+        lines.select("ingest_date", "landing", "page", "file_path", "block_start", "line", F.posexplode(items).alias("_pos", "raw"))
         .withColumn("position", F.struct("line", "_pos"))
         .select(*ITEM_ORDER, "raw")
     )
@@ -235,12 +242,10 @@ def read_rejects(
     spark: SparkSession, path: str, whole_files: bool = False, ingest_date: str | None = None
 ) -> DataFrame:
     """The lines, and the elements of readable lines, that ``read_items`` cannot read, with their place."""
-    lines = _lines(spark, path, whole_files, ingest_date)
+    lines = _with_judged(_lines(spark, path, whole_files, ingest_date).select("ingest_date", "landing", "value", *_place()[:3]))
     odd = F.transform(F.filter(_elements(F.col("value")), lambda x: ~_is_object(x)), lambda x: F.coalesce(x, F.lit("null")))
-    rejects = F.when(_is_unreadable(F.col("value")), F.array("value")).otherwise(odd)
-    return lines.select("ingest_date", "landing", rejects.alias("_odd"), *_place()[:3]).select(
-        "ingest_date", "landing", "page", "file_path", "block_start", F.explode("_odd").alias("raw")
-    )
+    rejects = F.when(F.col("_bad"), F.array("value")).otherwise(odd)
+    return lines.select("ingest_date", "landing", "page", "file_path", "block_start", F.explode(rejects).alias("raw"))
 
 
 def read_pages(spark: SparkSession, path: str, schema: str, whole_files: bool = False) -> DataFrame:

@@ -17,7 +17,7 @@ from arrearium import values
 from arrearium.functions import cleaning as cl
 from arrearium.functions.jsonpath import first_filled, first_path, first_value, object_or_text, surrogate_key
 from arrearium.operators.fold import fold_versions, keep_first, keep_last
-from arrearium.sources.bronze import ITEM_ORDER
+from arrearium.sources.bronze import ITEM_ORDER, once
 
 
 @dataclass(frozen=True)
@@ -39,9 +39,9 @@ class EntitySpec:
         """Typed silver rows, file-order columns kept."""
         order = [c for c in ITEM_ORDER if c in bronze.columns]
         if self.raw_schema is not None:
-            src = bronze.withColumn("j", F.from_json("raw", self.raw_schema))
+            src = bronze.select("*", once(F.from_json("raw", self.raw_schema)).alias("j"))
             if self.alt_schema is not None:
-                src = src.withColumn("k", F.from_json("raw", self.alt_schema))
+                src = src.select("*", once(F.from_json("raw", self.alt_schema)).alias("k"))
         else:
             src = bronze
             # Text is cleaned once here; the typed columns below read it several times.

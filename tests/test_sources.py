@@ -361,3 +361,12 @@ def test_a_failing_day_is_logged_and_moves_no_watermark(spark):
     assert [r.entity for r in ingest.watermarks(log).collect()] == ["a_assets"]
     silver = BucketTable(spark, f"{root}/silver/a_assets", A_ASSETS.keys).read().first()
     assert silver.loaded_at == silver.updated_at == datetime(2025, 1, 1)
+
+
+def test_filters_on_fields_parse_an_item_once(spark, tmp_path):
+    (tmp_path / "page_x").mkdir()
+    (tmp_path / "page_x" / "page_7.json").write_text('[{"transactionId":"a","status":"S"},{"transactionId":""}]\n{"transactionId":"b"}\n')
+    rows = A_PAYMENTS.rows(bronze.read_items(spark, str(tmp_path / "page_x"))).where("status is not null")
+    # A line is judged once and, if it is a page, taken apart once; an item is read once.
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 3
+    assert [(r.transaction_id, r.page) for r in rows.collect()] == [("a", 7)]
