@@ -31,10 +31,13 @@ def _readings(text: Column) -> Column:
     def read(x: Column) -> Column:
         clock = [F.coalesce(F.get(x, F.lit(k)), F.lit(0)) for k in (3, 4, 5)]
         year, first, second = F.get(x, F.lit(2)), F.get(x, F.lit(0)), F.get(x, F.lit(1))
-        return F.struct(
-            F.try_make_timestamp(year, first, second, *clock).alias("month_first"),
-            F.try_make_timestamp(year, second, first, *clock).alias("day_first"),
-        )
+        in_range = (clock[0] <= 23) & (clock[1] <= 59) & (clock[2] <= 60)
+
+        def made(month: Column, day: Column) -> Column:
+            # Ranges first: a failed make costs an exception per row, and most days are above 12.
+            return F.when(in_range & month.between(1, 12) & day.between(1, 31), F.try_make_timestamp(year, month, day, *clock))
+
+        return F.struct(made(first, second).alias("month_first"), made(second, first).alias("day_first"))
 
     # The numbers are split once, though both readings use them.
     return F.when(text.rlike(_SHAPE), F.get(F.transform(F.array(n), read), F.lit(0)))
@@ -49,26 +52,41 @@ def learn_formats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     A text that no format reads, such as 31/31/2021, says nothing about the others.
     """
-    out = []
-    for c in columns:
-        text = clean_text(F.col(f"`{c}`"))
-        read = _readings(text)
-        mask = read["month_first"].isNotNull().cast("int") * MONTH_FIRST + read["day_first"].isNotNull().cast("int") * DAY_FIRST
-        out.append(F.array(*[F.bit_and(F.when((mask > 0) & (_separator(text) == s), mask)) for s in SEPARATORS]).alias(c))
-    return df.agg(*out)
+    # Text, reading and mask are columns of their own, as each is used several times.
+    ids = range(len(columns))
+    texts = df.select(*[clean_text(F.col(f"`{c}`")).alias(f"t{i}") for i, c in enumerate(columns)])
+    read = texts.select("*", *[_readings(F.col(f"t{i}")).alias(f"r{i}") for i in ids])
 
+    def mask(r: Column) -> Column:
+        return r["month_first"].isNotNull().cast("int") * MONTH_FIRST + r["day_first"].isNotNull().cast("int") * DAY_FIRST
 
-def read_learned(c: Column, masks: Column) -> Column:
-    """A text column as timestamps by the learned masks; texts of other shapes by the fixed list."""
-    text = clean_text(c)
-    read, place = _readings(text), F.array_position(F.array(*[F.lit(s) for s in SEPARATORS]), _separator(text)).cast("int")
+    masks = read.select(*[x for i in ids for x in (mask(F.col(f"r{i}")).alias(f"m{i}"), _separator(F.col(f"t{i}")).alias(f"s{i}"))])
+    return masks.agg(
+        *[
+            F.array(*[F.bit_and(F.when((F.col(f"m{i}") > 0) & (F.col(f"s{i}") == s), F.col(f"m{i}"))) for s in SEPARATORS]).alias(c)
+            for i, c in enumerate(columns)
+        ]
+    )
+
+
+def _read_by(text: Column, read: Column, masks: Column) -> Column:
+    place = F.array_position(F.array(*[F.lit(s) for s in SEPARATORS]), _separator(text)).cast("int")
     mask = F.get(masks, place - 1)
     day_first = mask.bitwiseAND(MONTH_FIRST + DAY_FIRST) == DAY_FIRST
     both = F.when(day_first, F.coalesce(read["day_first"], read["month_first"])).otherwise(F.coalesce(read["month_first"], read["day_first"]))
     return F.when(text.rlike(_SHAPE), both).otherwise(parse_timestamp(text, LENIENT_FORMATS))
 
 
+def read_learned(c: Column, masks: Column) -> Column:
+    """A text column as timestamps by the learned masks; texts of other shapes by the fixed list."""
+    text = clean_text(c)
+    return _read_by(text, _readings(text), masks)
+
+
 def with_learned_dates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``df`` with text columns read as timestamps, each by the formats of its whole column."""
     facts = learn_formats(df, columns).select(F.struct(*columns).alias("f")).scalar()
-    return df.withColumns({c: read_learned(F.col(f"`{c}`"), facts.getField(c)) for c in columns})
+    texts = df.withColumns({c: clean_text(F.col(f"`{c}`")) for c in columns})
+    read = texts.withColumns({f"_read{i}": _readings(F.col(f"`{c}`")) for i, c in enumerate(columns)})
+    out = {c: _read_by(F.col(f"`{c}`"), F.col(f"_read{i}"), facts.getField(c)) for i, c in enumerate(columns)}
+    return read.withColumns(out).drop(*[f"_read{i}" for i in range(len(columns))])

@@ -80,3 +80,13 @@ def test_footers_tell_the_newest_date_and_other_types_are_scanned(spark):
     spark.createDataFrame([], "d date").write.parquet(empty)
     assert ingest.watermark_from_footers(spark, empty, ["d"]).first().watermark == date(1969, 12, 31)
     assert ingest.watermark_from_footers(spark, empty, ["d"], epoch_when_empty=False, default_start="2023-01-01").first().watermark == date(2023, 1, 1)
+
+
+def test_values_are_split_once_and_impossible_ones_are_not_tried(spark):
+    df = spark.createDataFrame([("13/04/2021", "1.2.2021 23:59:60"), ("1/31/2021", "31.12.2021 24:00:00")], "t string, u string")
+    read = with_learned_dates(df, ["t", "u"])
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    # Per column one split for learning and one for reading, with the copy of the subquery's plan that Spark prints.
+    assert plan.count("split(") <= 6
+    assert sorted(r.t for r in read.collect()) == [datetime(2021, 1, 31), datetime(2021, 4, 13)]
+    assert {r.u for r in read.collect()} == {datetime(2021, 1, 3), None}
