@@ -545,13 +545,16 @@ def month_snapshot_b(t: Tables):
 )
 def month_table_reload(t: Tables):
     """Both sides in one write, twice: the second load replaces the first."""
-    path = scratch_path(t.spark, "months")
+    path, sides = scratch_path(t.spark, "months"), scratch_path(t.spark, "sides")
     a = sn.month_snapshot_a(t.snapshots, t.deploy_reference, t.a_contracts, t.a_payments, FIRST_MONTH, LAST_MONTH, RULES)
     b = sn.month_snapshot_b(
         t.snapshots, t.b_contracts, t.unlock_history, t.b_payments, t.fx_asset_map, FIRST_MONTH, LAST_MONTH, RULES
     )
+    # Both sides are worked out once and stored for the two loads.
+    a.write.parquet(f"{sides}/a")
+    b.write.parquet(f"{sides}/b")
     for _ in range(2):
-        sn.reload_months(a, b, path)
+        sn.reload_months(t.spark.read.parquet(f"{sides}/a"), t.spark.read.parquet(f"{sides}/b"), path)
     return present(t.spark.read.parquet(path))
 
 
