@@ -324,3 +324,34 @@ def test_listing_and_stats(spark):
     assert [r.snapshot_date.day for r in got] == list(range(14, 4, -1)) and {r.contrats for r in got} == {2}
     s = portfolio.snapshot_stats(snaps, "2026-01-02").first()
     assert (s.nb, s.cr) == (2, Decimal("10.0"))
+
+
+BASE_ROWS = {
+    "region": "0 r_regionkey, 'R' r_name",
+    "nation": "0 n_nationkey, 'N' n_name, 0 n_regionkey",
+    "customer": "id c_custkey, 'C' c_name, 0 c_nationkey, 'M' c_mktsegment, 0D c_acctbal",
+    "supplier": "id s_suppkey, 'S' s_name, 0 s_nationkey, 0D s_acctbal",
+    "part": "id p_partkey, 'P' p_name, 'B' p_brand, 'T' p_type, 1 p_size, 1D p_retailprice",
+    "orders": "id o_orderkey, id o_custkey, 'O' o_orderstatus, 900D o_totalprice, TIMESTAMP'2001-01-02' o_orderdate, '1-URGENT' o_orderpriority",
+    "lineitem": """id l_orderkey, id l_partkey, id l_suppkey, 1 l_linenumber, 5D l_quantity, 100D l_extendedprice, 0D l_discount, 0D l_tax,
+        'A' l_returnflag, 'F' l_linestatus, TIMESTAMP'2001-03-30' l_shipdate""",
+    "events": "id event_id, TIMESTAMP'2001-03-30' ts, id user_id, 'x' event_type, 1D value, '' props",
+}
+
+
+def test_month_reload_works_out_its_sides_once(spark, monkeypatch, tmp_path):
+    from catalog import kpis
+    from catalog.tables import Tables
+
+    plans, reload = [], kpis.sn.reload_months
+
+    def loads(a, b, path):
+        plans.append(a.unionByName(b)._jdf.queryExecution().optimizedPlan().toString())
+        reload(a, b, path)
+
+    monkeypatch.setattr(kpis.sn, "reload_months", loads)
+    for name, columns in BASE_ROWS.items():
+        n = 1 if name in ("region", "nation") else 40
+        spark.sql(f"SELECT {columns} FROM range({n})").write.parquet(f"{tmp_path}/{name}.parquet")
+    assert kpis.month_table_reload(Tables.of(spark, str(tmp_path))).count() > 0
+    assert len(plans) == 2 and not any("Join" in p for p in plans)
