@@ -10,14 +10,16 @@ from catalog.folds import KEYS, MUTABLE, ORDER, STICKY_SQL
 from catalog.registry import dbl, query, ts, txt
 from catalog.tables import Tables, present
 
-FILES = 4
+#: Micro-batches of a stream, and rows that one task writes into one file.
+FILES, FILE_ROWS = 4, 1_000_000
 
 
-def _as_files(t: Tables, df, name: str):
-    """The rows as a folder of files, streamed one file per micro-batch."""
+def _as_files(t: Tables, df, name: str, batches: int = FILES):
+    """The rows as a folder of files of bounded size, streamed in so many micro-batches of equally many files."""
     path = scratch_path(t.spark, name)
-    df.repartition(FILES).write.parquet(path)
-    return t.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    each = max(1, -(-df.count() // (batches * FILE_ROWS)))
+    df.repartition(batches * each).write.parquet(path)
+    return t.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", each).parquet(path)
 
 
 def _pulls(t: Tables, df, on: str, name: str, cuts: list[str]):
@@ -89,9 +91,7 @@ BATCHES = 20
 def stream_compacted(t: Tables):
     """Twenty micro-batches, merged by the stream as they come; a reader opens a few folders."""
     versions = t.versions.withColumn("first_seen", F.col("seen_on").cast("timestamp")).withColumn("last_seen", F.col("first_seen"))
-    source, table = scratch_path(t.spark, "versions"), scratch_path(t.spark, "levels")
-    versions.repartition(BATCHES).write.parquet(source)
-    stream = t.spark.readStream.schema(versions.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    stream, table = _as_files(t, versions, "versions", BATCHES), scratch_path(t.spark, "levels")
     sticky, mutable = ["l_partkey", "quantity", "kind", "first_seen"], [*MUTABLE, "last_seen"]
     levels.start_upsert(stream, table, scratch_path(t.spark, "checkpoint"), KEYS, sticky, mutable, ORDER).awaitTermination()
     stored = levels.upsert_table(t.spark, table, KEYS, sticky, mutable)

@@ -1,5 +1,7 @@
 from datetime import date, datetime
 
+from pyspark.sql import functions as F
+
 from arrearium.operators import fold
 from arrearium.session import scratch_path
 from arrearium.streaming import jobs
@@ -56,3 +58,16 @@ def test_items_never_seen_before_count_however_late(spark):
         + [(None, 1, 2)],
         key=lambda r: tuple((v is None, str(v)) for v in r),
     )
+
+
+def test_streamed_files_are_bounded_and_batches_fixed(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from catalog import streams
+
+    made = []
+    monkeypatch.setattr(streams, "FILE_ROWS", 100, raising=False)
+    monkeypatch.setattr(streams, "scratch_path", lambda session, name: made.append(scratch_path(session, name)) or made[-1])
+    stream = streams._as_files(SimpleNamespace(spark=spark), spark.range(1000), "rows")
+    rows = spark.read.parquet(made[0]).groupBy(F.input_file_name()).count()
+    assert stream.isStreaming and rows.count() == 12 and rows.where("count > 100").count() == 0
