@@ -14,25 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-
-def _fold(df: DataFrame, keys: Sequence[str], sticky: Sequence[str], mutable: Sequence[str]) -> DataFrame:
-    """One row per key that can be folded again: first and last version with their order."""
-    return df.groupBy(*keys).agg(
-        F.min_by(F.struct(*sticky) if sticky else F.lit(None), "_first_at").alias("_first"),
-        F.max_by(F.struct(*mutable) if mutable else F.lit(None), "_last_at").alias("_last"),
-        F.min("_first_at").alias("_first_at"),
-        F.max("_last_at").alias("_last_at"),
-    )
-
-
-def _unfold(df: DataFrame, keys: Sequence[str], sticky: Sequence[str], mutable: Sequence[str]) -> DataFrame:
-    return df.select(
-        *keys,
-        *[F.col(f"_first.{c}").alias(c) for c in sticky],
-        *[F.col(f"_last.{c}").alias(c) for c in mutable],
-        "_first_at",
-        "_last_at",
-    )
+from arrearium.operators.fold import flat_states, fold_states
 
 
 def upsert_batch(
@@ -43,7 +25,7 @@ def upsert_batch(
     def write(df: DataFrame, batch_id: int) -> None:
         at = F.struct(*order)
         rows = df.withColumn("_first_at", at).withColumn("_last_at", at)
-        folded = _unfold(_fold(rows, keys, sticky, mutable), keys, sticky, mutable)
+        folded = flat_states(fold_states(rows, keys, sticky, mutable), keys, sticky, mutable)
         folded.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return write
@@ -54,7 +36,7 @@ def upserted(
 ) -> DataFrame:
     """Current state of an upserted table: all stored batches folded."""
     rows = spark.read.parquet(path)
-    state = _unfold(_fold(rows, keys, sticky, mutable), keys, sticky, mutable)
+    state = flat_states(fold_states(rows, keys, sticky, mutable), keys, sticky, mutable)
     return state.drop("_first_at", "_last_at")
 
 
@@ -68,7 +50,7 @@ def compact(
 ) -> None:
     """Fold all batches into one base folder of a new table; the old one stays untouched."""
     rows = spark.read.parquet(path)
-    base = _unfold(_fold(rows, keys, sticky, mutable), keys, sticky, mutable)
+    base = flat_states(fold_states(rows, keys, sticky, mutable), keys, sticky, mutable)
     base.write.mode("errorifexists").parquet(f"{new_path}/batch=-1")
 
 

@@ -370,3 +370,12 @@ def test_filters_on_fields_parse_an_item_once(spark, tmp_path):
     # A line is judged once and, if it is a page, taken apart once; an item is read once.
     assert rows._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 3
     assert [(r.transaction_id, r.page) for r in rows.collect()] == [("a", 7)]
+
+
+def test_landed_items_are_compressed_files_of_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(bronze, "FILE_ITEMS", 100)
+    rows = spark.range(1000).selectExpr("DATE'2025-01-01' ingest_date", "string(id) transactionId", "repeat('text', 50) status")
+    bronze.land_items(rows.coalesce(1), str(tmp_path / "x"))
+    files = list((tmp_path / "x").rglob("part-*"))
+    assert len(files) == 10 and sum(f.stat().st_size for f in files) < 1000 * 100
+    assert A_PAYMENTS.rows(bronze.read_items(spark, str(tmp_path / "x"))).select("transaction_id").distinct().count() == 1000
