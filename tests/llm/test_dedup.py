@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from arrearium.llm import chaining, near_dedup, suffix_dedup
@@ -218,6 +219,31 @@ def test_similar_copies_whose_seeds_occur_first_in_pieces(spark, block_bytes):
     assert want <= got and all(a // 10 == b // 10 for a, b in got)
 
 
+@pytest.mark.parametrize("block_bytes", [24_000_000, 3000])
+def test_a_holder_that_is_neither_first_nor_last_is_found(spark, block_bytes):
+    """Pieces of a passage of 90 words lie in documents before and after its only earlier holder, in both."""
+    rows, want = [], set()
+    for case in range(6):
+        p = prose(300 + case, 90).split(" ")
+        copy = list(p)
+        for k in random.Random(case).sample(range(90), 6):
+            copy[k] = f"other{k}"
+        pieces = (p[:32], p[28:62], p[58:])
+        for k, w in enumerate((*pieces, p, *pieces, *pieces, copy)):
+            rows.append((20 * case + k, " ".join([prose(15000 + 20 * case + k, 40), *w, prose(16000 + 20 * case + k, 30)])))
+        want.add((20 * case + 10, 20 * case + 3))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.other_id) for r in chaining.repeated_passages(df, block_bytes=block_bytes).collect()}
+    assert want <= got and all(a // 20 == b // 20 for a, b in got)
+
+
+def test_links_of_a_row_of_equal_words_are_few():
+    """The join of the rest gets a link once, however long a word is repeated."""
+    table = pa.table({"text": ["la " * 3000 + prose(5, 200)]})
+    link, _, _ = chaining._links(chaining._seeds(table, [20]), chaining.LINK_MOST)
+    assert 0 < len(link) < 3000
+
+
 @pytest.mark.parametrize("block_bytes", [24_000_000, 6000])
 def test_drifting_copies_are_linked_step_by_step(spark, block_bytes):
     """Every copy changes 10 % of the words of the one before."""
