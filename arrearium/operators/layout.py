@@ -9,8 +9,16 @@ from pyspark.sql import functions as F
 
 from arrearium.session import scratch_path
 
-#: Buckets of a small installation; a table takes as many as make buckets of some hundred megabytes.
-BUCKETS = 32
+#: Buckets of a small installation, and rows that a bucket of a larger one has, which a task sorts in memory.
+BUCKETS, BUCKET_ROWS = 32, 1_000_000
+
+
+def buckets_for(rows: int) -> int:
+    """Buckets of tables of which the largest has so many rows: a power of two, the same for tables that are joined."""
+    buckets = BUCKETS
+    while buckets * BUCKET_ROWS < rows:
+        buckets *= 2
+    return buckets
 
 
 def laid_out(df: DataFrame, key: str, buckets: int = BUCKETS, path: str | None = None) -> DataFrame:

@@ -35,6 +35,19 @@ FACTS = {
 }
 
 
+#: Columns that the fixed-instalment rate reads, the key of each table first.
+FIXED_READS = {
+    "a_payments": ["contract_number", "payment_date", "amount", "status", "payment_code"],
+    "b_payments": ["account", "paid_time", "transaction_id", "amount", "payment_status"],
+    "asset_map": ["asset_number", "installation_id"],
+    "snapshots": ["contract_number", "snapshot_date", "categorie", "contract_status", "consecutive_locked_days"],
+    "contracts": [
+        "contract_number", "entite", "categorie", "deal_type", "paid_date", "paid_off_date", "registration_date",
+        "upfront_payment", "monthly_payment",
+    ],
+}
+
+
 def _facts(df: DataFrame, kind: str, **cols: Column) -> DataFrame:
     filled = [cols.get(name, F.lit(None)).cast(to).alias(name) for name, to in FACTS.items()]
     return df.select(F.lit(kind).alias("kind"), "contract_number", "month_start", *filled)

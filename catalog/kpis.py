@@ -387,14 +387,17 @@ def deploy_reference_events(t: Tables):
 
 @query("collection_rate_laid_out", FIXED)
 def collection_rate_laid_out(t: Tables):
-    """The fixed rate over tables laid out once by contract or account, which join and group without being shuffled."""
-    return present(
-        collection.collection_rate_fixed(
-            t.spark, layout.laid_out(t.a_payments, "contract_number"), layout.laid_out(t.b_payments, "account"),
-            layout.laid_out(t.fx_asset_map, "asset_number"), layout.laid_out(t.snapshots, "contract_number"),
-            layout.laid_out(contracts(t), "contract_number"), COLLECTION_LAST, RULES,
-        )
-    )
+    """The fixed rate over tables laid out once by contract or account, which join and group without being shuffled.
+
+    All rows are laid out, with the columns that the rate reads.
+    """
+    buckets = layout.buckets_for(t.lineitem.count())
+    tables = {
+        "a_payments": t.a_payments, "b_payments": t.b_payments, "asset_map": t.fx_asset_map, "snapshots": t.snapshots,
+        "contracts": contracts(t),
+    }
+    laid = {name: layout.laid_out(tables[name].select(*columns), columns[0], buckets) for name, columns in collection.FIXED_READS.items()}
+    return present(collection.collection_rate_fixed(t.spark, **laid, last_day=COLLECTION_LAST, rules=RULES))
 
 
 ORACLE_VIEWS["o_paid_free"] = """

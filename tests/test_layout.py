@@ -2,7 +2,7 @@
 
 import pytest
 
-from arrearium.operators.layout import exchanges, laid_out
+from arrearium.operators.layout import BUCKETS, buckets_for, exchanges, laid_out
 from arrearium.plans import collection
 from arrearium.session import scratch_path
 from catalog import kpis
@@ -46,3 +46,19 @@ def test_the_fixed_rate_has_less_than_half_the_exchanges(no_broadcast):
     laid = collection.collection_rate_fixed(no_broadcast, *[laid_out(df, key) for df, key in given], kpis.COLLECTION_LAST, kpis.RULES)
     assert exchanges(laid) * 2 <= exchanges(plain)
     assert rows(laid) == rows(plain)
+
+
+def test_buckets_grow_with_the_rows():
+    assert buckets_for(0) == buckets_for(BUCKETS * 1_000_000) == BUCKETS
+    assert buckets_for(BUCKETS * 1_000_000 + 1) == 2 * BUCKETS and buckets_for(216_000_000) == 256
+
+
+def test_the_fixed_rate_reads_the_named_columns_only(no_broadcast):
+    t = Tables.of(no_broadcast, FOLDER)
+    tables = {"a_payments": t.a_payments, "b_payments": t.b_payments, "asset_map": t.fx_asset_map, "snapshots": t.snapshots,
+              "contracts": kpis.contracts(t)}
+    few = {name: tables[name].select(*columns) for name, columns in collection.FIXED_READS.items()}
+    whole, part = (
+        collection.collection_rate_fixed(no_broadcast, **given, last_day=kpis.COLLECTION_LAST, rules=kpis.RULES) for given in (tables, few)
+    )
+    assert rows(part) == rows(whole) and len(rows(whole)) > 0
