@@ -379,3 +379,13 @@ def test_landed_items_are_compressed_files_of_bounded_size(spark, tmp_path, monk
     files = list((tmp_path / "x").rglob("part-*"))
     assert len(files) == 10 and sum(f.stat().st_size for f in files) < 1000 * 100
     assert A_PAYMENTS.rows(bronze.read_items(spark, str(tmp_path / "x"))).select("transaction_id").distinct().count() == 1000
+
+
+def test_cells_are_cleaned_and_dates_read_once_a_row(spark):
+    """Filters on keys see finished values: a date is not read once more for each filter and format."""
+    cells = [("OGC-1", "2025-01-02 ", "nan"), ("OGC-2", "none", "1,200.50"), ("X", "2025-01-02", "1"), ("OGC-1", "bad", "2")]
+    rows = spark.createDataFrame(cells, "Contract string, `Posting Date` string, `Ending Balance Principal` string")
+    typed = B_LEASE_LEDGER.rows(rows)
+    assert [(r.contract_ogc, str(r.posting_date), r.ending_principal) for r in typed.collect()] == [("OGC-1", "2025-01-02", None)]
+    filters = [line for line in typed._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Filter" in line]
+    assert filters and not any("RLIKE" in line or "trim" in line for line in filters)
