@@ -237,6 +237,35 @@ def test_a_holder_that_is_neither_first_nor_last_is_found(spark, block_bytes):
     assert want <= got and all(a // 20 == b // 20 for a, b in got)
 
 
+@pytest.mark.parametrize("block_bytes", [24_000_000, 3000])
+def test_copies_of_a_holder_are_not_joined_with_each(spark, block_bytes):
+    """As above, but the holder is there eight times: one of them is found, by the join the earliest."""
+    p = prose(300, 90).split(" ")
+    copy = list(p)
+    for k in random.Random(0).sample(range(90), 6):
+        copy[k] = f"other{k}"
+    pieces = [" ".join([prose(15000 + k, 40), *w, prose(16000 + k, 30)]) for k, w in enumerate((p[:32], p[28:62], p[58:]))]
+    holder = " ".join([prose(15100, 40), *p, prose(16100, 30)])
+    texts = [*pieces, *[holder] * 8, *pieces, " ".join([prose(15200, 40), *copy, prose(16200, 30)])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r.doc_id, r.other_id) for r in chaining.repeated_passages(df, block_bytes=block_bytes).collect()}
+    assert len(others := [other for doc, other in got if doc == len(texts) - 1]) == 1 and 3 <= others[0] < 11
+
+
+def test_the_join_of_the_rest_gets_a_row_per_link_and_document():
+    """However often a document repeats a link, it is joined once; all pairs of places are matched then."""
+    line = prose(7, 31) + " "
+    table = pa.table({"block": [0, 0], "id": [1, 2], "text": [line * 40, prose(8, 50) + " " + line * 3], "text_hash": [11, 12]})
+    wanted = chaining._links(chaining._seeds(table, [20]), chaining.LINK_MOST_THERE)[0]
+    got = chaining._holders(45)(table, {6: [wanted.tobytes()]})
+    seen = list(zip(got.column("key").to_pylist(), got.column("other").to_pylist(), strict=True))
+    assert len(seen) == len(set(seen)) and max(map(len, got.column("y").to_pylist())) > 20
+    x, y = (pa.array(a, pa.list_(pa.int64())) for a in ([[(1 << 32) + 15, (40 << 32) + 15], [(9 << 32) + 20]], [[(5 << 32) + 16], [(2 << 32) + 14, 20]]))
+    want = {(1, 5), (16, 21), (40, 5), (55, 21), (9, 2), (29, 16), (9, 0), (29, 20)}
+    assert {(m >> 32, m & 0xFFFFFFFF) for m in chaining._matches_of(x, y, 0, 2).tolist()} == want
+    assert {(m >> 32, m & 0xFFFFFFFF) for m in chaining._matches_of(x, y, 1, 2).tolist()} == {(9, 2), (29, 16), (9, 0), (29, 20)}
+
+
 def test_links_of_a_row_of_equal_words_are_few():
     """The join of the rest gets a link once, however long a word is repeated."""
     table = pa.table({"text": ["la " * 3000 + prose(5, 200)]})
