@@ -273,6 +273,79 @@ def test_links_of_a_row_of_equal_words_are_few():
     assert 0 < len(link) < 3000
 
 
+def test_a_block_looks_up_its_seeds_only(monkeypatch):
+    """Units are judged by their seeds, so they are not looked up among the repeated seeds."""
+    table = pa.table({"block": [0] * 40, "id": list(range(40)), "text": [prose(k // 2, 300) for k in range(40)]})
+    looked, find = [], chaining.rounds.find
+    monkeypatch.setattr(chaining.rounds, "find", lambda keys, key: looked.append(len(key)) or find(keys, key))
+    known = np.unique(chaining._seeds(table).hash & np.uint64(0xFFFFFFFF))
+    seeds = chaining._first_here(table, {1: [known.tobytes()]}, 1, 45)[0]
+    n = int((seeds.size == chaining.SEED_WORDS).sum())
+    assert n == len(chaining._seeds(table).hash) and len(seeds.hash) > n and sum(looked) == n
+
+
+def test_passages_are_placed_in_all_texts_at_once(monkeypatch):
+    texts = [f"  {prose(k, 60)}\n{prose(90 + k, 9)} " for k in range(30)]
+    table, calls, split = pa.table({"text": texts}), [], chaining.words_of
+    monkeypatch.setattr(chaining, "words_of", lambda *a: calls.append(1) or split(*a))
+    rows = [(k, 0, low, high, 0, 0, 0) for low, high in ((3, 50), (0, 69), (60, 69)) for k in reversed(range(30))]
+    for (k, _, low, high, *_), (a, b) in zip(rows, chaining._bytes_of(table, rows), strict=True):
+        assert texts[k].encode()[a:b].decode().split() == texts[k].split()[low:high]
+        assert high < 69 or b == len(texts[k].encode())
+    assert len(calls) == 1
+
+
+def test_stretches_of_many_groups_equal_those_of_each():
+    r = np.random.default_rng(3)
+    group, x, y = np.sort(r.integers(0, 60, 900)), r.integers(0, 120, 900), r.integers(0, 9, 900)
+    y += x
+    got = list(zip(*(a.tolist() for a in chaining._stretches(group, x, y)), strict=True))
+    want = []
+    for g in range(60):
+        mine = sorted((int(d), int(a)) for a, d in zip(x[group == g], (y - x)[group == g], strict=True))
+        for k, (d, a) in enumerate(mine):
+            if k and mine[k - 1][0] == d and a - mine[k - 1][1] <= chaining.SEED_WORDS + chaining.WINDOW:
+                want[-1][3] = a - want[-1][1] + chaining.SEED_WORDS
+            else:
+                want.append([g, a, a + d, chaining.SEED_WORDS])
+    assert got == sorted(map(tuple, want))
+
+
+def test_order_by_hash_where_ids_repeat():
+    r = np.random.default_rng(4)
+    for ids in (np.arange(30), np.sort(r.integers(0, 6, 30))):
+        row = np.sort(r.integers(0, 30, 500))
+        at = np.concatenate([np.sort(r.choice(99, n, replace=False)) for n in np.bincount(row, minlength=30)])
+        seeds = chaining.Seeds(r.integers(0, 40, 500).astype(np.uint64), row, at, np.full(500, 5))
+        assert (chaining._by_hash(seeds, ids[row]) == np.lexsort((at, ids[row], seeds.hash))).all()
+
+
+def test_alignment_of_short_runs():
+    r = random.Random(6)
+    for _ in range(300):
+        a, b = ([r.randrange(r.choice([2, 5, 30])) for _ in range(r.randint(1, 70))] for _ in range(2))
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, j in ((i, j) for i in range(len(a)) for j in range(len(b))):
+            best[i + 1][j + 1] = best[i][j] + 1 if a[i] == b[j] else max(best[i][j + 1], best[i + 1][j])
+        assert chaining._common(np.array(a, np.uint64), np.array(b, np.uint64)) == best[-1][-1]
+    for equal, want in (([], (0, 0)), ([1, 1, 0, 1, 1, 1, 0, 1, 1], (6, 5)), ([0, 1, 1, 1], (4, 3)), ([0, 0, 1, 1, 1], (0, 0)), ([1, 0], (1, 1))):
+        assert chaining._grown(bytes(equal)) == want
+
+
+def test_one_stretch_is_aligned_as_two_are():
+    r = random.Random(8)
+    for _ in range(200):
+        mine = np.array([r.randrange(9**9) for _ in range(r.randint(30, 120))], np.uint64)
+        theirs, off = mine.copy(), r.randint(0, 20)
+        theirs[r.sample(range(len(mine)), r.randint(0, 8))] = 9**10
+        theirs, low, shift = theirs[off:], r.randint(off, len(mine) - 8), r.randint(0, 50)
+        w = r.randint(2, len(mine) - low)
+        cut = r.randint(1, w - 1)
+        y = low - off + shift
+        one, two = [(low, y, w)], [(low, y, cut), (low + cut, y + cut, w - cut)]
+        assert chaining.aligned(one, mine, theirs, shift) == chaining.aligned(two, mine, theirs, shift)
+
+
 @pytest.mark.parametrize("block_bytes", [24_000_000, 6000])
 def test_drifting_copies_are_linked_step_by_step(spark, block_bytes):
     """Every copy changes 10 % of the words of the one before."""
