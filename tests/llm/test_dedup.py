@@ -5,8 +5,10 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from arrearium.llm import chaining, near_dedup, suffix_dedup
+from arrearium.llm import blocks as rounds
+from arrearium.llm import chaining, near_dedup, suffix_dedup, wire
 from tests.llm.data import none, odd, odd_rows, plain_classes, plain_removed, prose, words
 
 FOLDER = "/root/testdata/sf0.001"
@@ -412,3 +414,41 @@ def test_tree_of_ends():
             tree.put(at, own[at])
         low, high = r.randint(1, 37), r.randint(0, 37)
         assert tree.most(low, high) == max([own[k] for k in range(low, high + 1) if k in own], default=chaining._NOTHING)
+
+
+def test_packed_rows_and_texts_come_back_as_they_were():
+    r = np.random.default_rng(8)
+    dtype = np.dtype([("s", "<u8"), ("id", "<i8"), ("at", "<u4"), ("many", "u1")])
+    for n in (0, 1, 2, 5000):
+        rows = np.zeros(n, dtype)
+        rows["s"] = np.sort(r.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2))
+        rows["id"], rows["at"], rows["many"] = r.integers(-9, 2**63 - 1, n), r.integers(0, 2**32, n), r.integers(0, 2, n)
+        for rising in ("", "s", "id", "at"):  # a field that does not rise comes back too
+            assert (wire.unpacked(wire.packed(rows, rising), dtype, rising) == rows).all()
+        first = np.zeros(n, chaining._FIRST)
+        first["s"], first["id"], first["at"] = rows["s"], rows["id"], rows["at"]
+        for data_of in (7, 1000):
+            for b, data in rounds.by_bucket(first, chaining._bucket(first["s"], data_of), lambda part: chaining._first_packed(part, data_of)):
+                assert (chaining._first_unpacked(data, b, data_of) == first[chaining._bucket(first["s"], data_of) == b]).all()
+    texts = ["", "a", " éß\U0001f600 x ", prose(1, 400), "\x00\n", prose(2, 30)]
+    block = [3, 1, 3, 3, 1, 2]
+    rows = pa.table({"block": pa.array(block, pa.int32()), "id": range(6), "text": texts, "text_hash": [-k for k in range(6)]})
+    packets = [p for p in wire.text_packets(rows.to_batches()) for p in pa.table(p).to_pylist()]
+    assert [p["block"] for p in packets] == [1, 2, 3]
+    for p in packets:
+        got = wire.texts_in(pa.table({"block": pa.array([p["block"]] * 2, pa.int32()), "data": [p["data"]] * 2}))
+        mine = [k for k in range(6) if block[k] == p["block"]] * 2
+        assert got.to_pydict() == {"block": [p["block"]] * len(mine), "id": mine, "text": [texts[k] for k in mine], "text_hash": [-k for k in mine]}
+    assert list(wire.text_packets(rows.slice(0, 0).to_batches())) == []
+
+
+def test_passages_send_fewer_bytes_than_the_texts_have(spark, documents, monkeypatch):
+    """What goes from blocks to buckets and back is packed; the texts are too."""
+    sent = []
+    for name in ("send", "send_knowing", "answer"):
+        make = getattr(chaining.rounds, name)
+        monkeypatch.setattr(chaining.rounds, name, lambda *a, make=make: sent.append(make(*a)) or sent[-1])
+    texts = documents.select(F.sum(F.octet_length("text"))).first()[0]
+    chaining.passages(documents, block_bytes=100_000)
+    total = sum(df.select(F.sum(F.octet_length("data"))).first()[0] for df in sent)
+    assert total < 0.5 * texts, total / texts
