@@ -108,3 +108,17 @@ def test_filters_on_cells_parse_a_record_once(spark, tmp_path):
     got = bronze.read_csv_export(spark, str(tmp_path)).where("id is not null and id <> ''").where("n > 1")
     assert got._jdf.queryExecution().optimizedPlan().toString().count("from_csv") == 1
     assert table(got, "id", "n") == [("c", "3")]
+
+
+def test_compressed_landings_hold_what_plain_ones_do(spark, tmp_path, monkeypatch):
+    """Files of bounded size, a task each; cells with quotes and line breaks come back as they were."""
+    monkeypatch.setattr(bronze, "FILE_ITEMS", 70)
+    text = "concat('a \"', id, IF(id % 3 = 0, '\\n', ','), '\", b')"
+    rows = spark.range(1000).selectExpr("string(id) ID", f"{text} name", "DATE '2025-01-01' ingest_date")
+    bronze.land_csv(rows, f"{tmp_path}/plain")
+    bronze.land_csv(rows, f"{tmp_path}/small", compressed=True)
+    files = list((tmp_path / "small").rglob("part-*"))
+    assert all(f.name.endswith(".csv.gz") for f in files) and len(files) >= 15
+    assert sum(f.stat().st_size for f in files) < sum(f.stat().st_size for f in (tmp_path / "plain").rglob("part-*"))
+    got = [sorted(map(tuple, bronze.read_csv_export(spark, f"{tmp_path}/{name}").select("ID", "name").collect())) for name in ("plain", "small")]
+    assert got[0] == got[1] == sorted(map(tuple, rows.select("ID", "name").collect()))
