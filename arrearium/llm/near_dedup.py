@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrearium.llm.common import as_id, chunks, id_or_last, mix, shingles_of, stored, texts_of, words_of
+from arrearium.llm.common import as_id, chunks, forget, id_or_last, mix, shingles_of, stored, texts_of, words_of
 from arrearium.llm.components import components
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -183,20 +183,22 @@ def node_of(text: Column) -> Column:
 
 def classes(
     docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, bands: int = BANDS,
-    rows: int = ROWS, size: int = SHINGLE, leaders: int = LEADERS,
+    rows: int = ROWS, size: int = SHINGLE, leaders: int = LEADERS, spent: list[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Two stored tables: (id, node, n) of all rows, and (node, first_id, label, class_id, keep) of all texts.
 
-    ``class_id`` is the smallest id of the class; ``keep`` marks the one text of a class that has it.
+    ``class_id`` is the smallest id of the class; ``keep`` marks the one text of a class that has it.  What else is stored
+    on the way is deleted at the end; ``spent`` gets the folder of the first table, for who needs the second only.
     """
+    between: list[str] = []
     own = docs.select(id_or_last(id).alias("id"), node_of(F.col(text)).alias("node"), F.col(text).alias("text"))
     sketches = stored(
-        own.mapInArrow(_sketches(bands * rows, size), "id long, node binary, n long, sig binary"), "sketches"
+        own.mapInArrow(_sketches(bands * rows, size), "id long, node binary, n long, sig binary"), "sketches", spent
     )
     # Exact copies first: a text is one node, however many rows have it.
     known = sketches.where("node is not null")
     firsts = known.groupBy("node").agg(F.min("id").alias("first_id"), F.first("n").alias("n"), F.first("sig").alias("sig"))
-    nodes = stored(firsts, "nodes")
+    nodes = stored(firsts, "nodes", between)
 
     keys = F.array(*[F.xxhash64(F.lit(b), F.substring("sig", 2 * rows * b + 1, 2 * rows)) for b in range(bands)])
     all_members = nodes.where("sig is not null").select(F.explode(keys).alias("key"), "node", "n")
@@ -204,13 +206,13 @@ def classes(
     shared = all_members.groupBy(F.col("key").alias("of")).agg(F.min("node").alias("low"), F.max("node").alias("high"), *leader)
     shared = shared.where("low <> high").select("of", F.array(*[f"l{i}" for i in range(leaders)]).alias("leaders"))
     members = stored(
-        all_members.join(shared, all_members["key"] == shared["of"]).select("key", "node", "n", "leaders"), "members"
+        all_members.join(shared, all_members["key"] == shared["of"]).select("key", "node", "n", "leaders"), "members", between
     )
 
     wanted = members.select("node").distinct()
     candidates = own.select("node", "id", "text").join(nodes.select("node", "first_id"), "node").where("id = first_id")
     texts = stored(
-        candidates.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "texts"
+        candidates.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "texts", between
     )
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -218,7 +220,7 @@ def classes(
         left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
         right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
         both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-        return stored(both.mapInArrow(_verified(similarity, size), "a binary, b binary"), "links")
+        return stored(both.mapInArrow(_verified(similarity, size), "a binary, b binary"), "links", between)
 
     def near(n: Column, m: Column) -> Column:
         return F.least(n, m) >= F.greatest(n, m) * similarity - 1e-9
@@ -227,15 +229,15 @@ def classes(
         return pairs.select(F.least("node", "node_o").alias("a"), F.greatest("node", "node_o").alias("b")).distinct()
 
     led = members.select("node", "n", F.inline("leaders").alias("h", "node_o", "n_o"))
-    tested = stored(in_order(led.where((F.col("node") != F.col("node_o")) & near(F.col("n"), F.col("n_o")))), "pairs")
+    tested = stored(in_order(led.where((F.col("node") != F.col("node_o")) & near(F.col("n"), F.col("n_o")))), "pairs", between)
     links = verify(tested)
-    labels = components(links)
+    labels = components(links, spent=between)
     placed = members.join(labels, "node", "left").select("key", "node", "n", F.coalesce("label", "node").alias("label"))
-    open_ = stored(_several(placed, "key").select("node", "n", "label").distinct(), "open")
+    open_ = stored(_several(placed, "key").select("node", "n", "label").distinct(), "open", between)
     if not open_.isEmpty():
-        pairs = in_order(_prefix_pairs(open_, texts, near, similarity, size))
-        links = links.unionByName(verify(stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")))
-        labels = components(links)
+        pairs = in_order(_prefix_pairs(open_, texts, near, similarity, size, between))
+        links = links.unionByName(verify(stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs", between)))
+        labels = components(links, spent=between)
 
     placed = nodes.select("node", "first_id").join(labels, "node", "left")
     placed = placed.select("node", "first_id", F.coalesce("label", "node").alias("label"))
@@ -243,7 +245,9 @@ def classes(
     table = placed.join(best, "label").select(
         "node", "first_id", "label", F.col("best.first_id").alias("class_id"), (F.col("best.node") == F.col("node")).alias("keep")
     )
-    return sketches.select("id", "node", "n"), stored(table, "classes")
+    table = stored(table, "classes")
+    forget(docs.sparkSession, between)
+    return sketches.select("id", "node", "n"), table
 
 
 def _several(rows: DataFrame, key: str) -> DataFrame:
@@ -253,7 +257,7 @@ def _several(rows: DataFrame, key: str) -> DataFrame:
     return rows.join(spread, rows[key] == spread["of"], "left_semi")
 
 
-def _prefix_pairs(open_: DataFrame, texts: DataFrame, near, similarity: float, size: int) -> DataFrame:
+def _prefix_pairs(open_: DataFrame, texts: DataFrame, near, similarity: float, size: int, spent: list[str]) -> DataFrame:
     """Pairs of nodes of different classes that share one of their rarest elements (prefix filter).
 
     Two multisets of n and m elements with Jaccard similarity t share at least t * max(n, m); so among the
@@ -265,7 +269,7 @@ def _prefix_pairs(open_: DataFrame, texts: DataFrame, near, similarity: float, s
     lists = texts.join(open_.select("node"), "node", "left_semi").mapInArrow(
         _elements(size), "node binary, elements array<long>"
     )
-    elements = stored(lists.select("node", F.explode("elements").alias("e")), "elements")
+    elements = stored(lists.select("node", F.explode("elements").alias("e")), "elements", spent)
     often = elements.groupBy(F.col("e").alias("of")).agg(F.count("*").alias("c")).where("c > 1")
     known = elements.join(often, elements["e"] == often["of"])
     ordered = known.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("c", "e"))).alias("all"))
@@ -277,7 +281,7 @@ def _prefix_pairs(open_: DataFrame, texts: DataFrame, near, similarity: float, s
     )
     placed = prefixes.select("node", "n", "label", "prefix", "alone", F.posexplode("prefix").alias("pos", "e"))
     placed = placed.withColumn("left", F.col("n") - F.col("alone") - F.col("pos")).drop("alone", "pos")
-    rows = stored(_several(placed, "e"), "prefixes")
+    rows = stored(_several(placed, "e"), "prefixes", spent)
     # Pairs have a member outside the element's largest class, so that class is never paired with itself.
     cells = rows.groupBy("e", "label").agg(F.count("*").alias("c"))
     main = cells.groupBy(F.col("e").alias("of")).agg(F.max(F.struct("c", "label"))["label"].alias("main"))
@@ -301,7 +305,9 @@ def class_of_documents(docs: DataFrame, id: str = "doc_id", text: str = "text",
 
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents with one of each class, the one with the smallest id; documents with a null text stay."""
-    _, table = classes(docs, id, text, **options)
+    spent: list[str] = []
+    _, table = classes(docs, id, text, spent=spent, **options)
+    forget(docs.sparkSession, spent)
     keep = table.where("keep").select(F.col("node").alias("node_"), F.col("first_id").alias("first_"))
     own = docs.select(F.struct("*").alias("row_"), node_of(F.col(text)).alias("n_"), id_or_last(id).alias("i_"))
     chosen = own.join(keep, (F.col("n_") == F.col("node_")) & (F.col("i_") == F.col("first_")), "left_semi")

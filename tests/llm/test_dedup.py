@@ -1,5 +1,6 @@
 """Near duplicates, repeated strings and passages against plain versions."""
 
+import os
 import random
 
 import numpy as np
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from arrearium.llm import blocks as rounds
-from arrearium.llm import chaining, near_dedup, suffix_dedup, wire
+from arrearium.llm import chaining, common, near_dedup, suffix_dedup, wire
 from tests.llm.data import none, odd, odd_rows, plain_classes, plain_removed, prose, words
 
 FOLDER = "/root/testdata/sf0.001"
@@ -452,3 +453,13 @@ def test_passages_send_fewer_bytes_than_the_texts_have(spark, documents, monkeyp
     chaining.passages(documents, block_bytes=100_000)
     total = sum(df.select(F.sum(F.octet_length("data"))).first()[0] for df in sent)
     assert total < 0.5 * texts, total / texts
+
+
+def test_near_dedup_leaves_no_table_that_nothing_reads(spark, documents, monkeypatch, tmp_path):
+    """Only what its result reads is still stored when the next step begins."""
+    monkeypatch.setattr(common, "scratch_path", lambda spark, name: f"{tmp_path}/{name}-{os.urandom(8).hex()}")
+    kept = near_dedup.one_of_each(documents)
+    assert {p.name.split("-")[0] for p in tmp_path.iterdir()} == {"classes"}
+    assert 0 < kept.count() < documents.count()
+    near_dedup.class_of_documents(documents).count()
+    assert {p.name.split("-")[0] for p in tmp_path.iterdir()} == {"classes", "sketches"}
